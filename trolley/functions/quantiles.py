@@ -2,81 +2,90 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from trolley.functions.sizes import SMALL_INPUT_BYTES, is_small
+
 # A sketch grid of 1,001 cuts; its rank error (1/accuracy) stays below one grid step.
 GRID = 1000
 ACCURACY = 10_000
+# Brackets holding at most this many rows are put in order; larger ones are narrowed again.
+SORTED_ROWS = 1_000_000
 
 
-def exact_quantile(
-    df: DataFrame, columns: Sequence[str], p: float = 0.5, refinements: int = 2
-) -> DataFrame:
-    """``(column, value)`` with the smallest value whose share of rows at or below it reaches ``p``.
+@dataclass
+class _Search:
+    """Where the wanted value of one column lies: ``wanted`` is its 1-based rank among non-nulls."""
 
-    ``percentile_disc`` keeps every distinct value of a column in one task. Here each
-    refinement sketches the values inside a bracket and narrows the bracket to about two grid
-    steps around the wanted rank. Only the values left in the last bracket (the row count times
-    ``(4 / GRID) ** refinements`` at most, equal values counted once) are put in order.
-    """
-    values = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
-    numbers = range(len(columns))
-    low: list[Column | None] = [None for _ in numbers]
-    high: list[Column | None] = [None for _ in numbers]
-    wanted: list[Column | None] = [None for _ in numbers]
-
-    def inside(i: int) -> Column:
-        value = F.col(f"c{i}")
-        kept = value.isNotNull()
-        if low[i] is not None:
-            kept = kept & (value >= low[i]) & (value <= high[i])
-        return kept
-
-    for _ in range(refinements):
-        per_column = []
-        for i in numbers:
-            value = F.when(inside(i), F.col(f"c{i}"))
-            below = F.lit(0) if low[i] is None else F.count_if(F.col(f"c{i}") < low[i])
-            per_column.append(
-                F.struct(
-                    F.count(value).alias("n"),
-                    below.alias("below"),
-                    F.percentile_approx(value, [g / GRID for g in range(GRID + 1)], ACCURACY).alias(
-                        "grid"
-                    ),
-                ).alias(f"s{i}")
-            )
-        sketch = values.agg(*per_column).select(F.struct(*[f"s{i}" for i in numbers])).scalar()
-        for i in numbers:
-            found = sketch[f"s{i}"]
-            if wanted[i] is None:
-                wanted[i] = F.ceil(found["n"] * F.lit(p))
-            step = (wanted[i] - found["below"]) * F.lit(float(GRID)) / F.nullif(found["n"], F.lit(0))
-            first = F.greatest(F.floor(step).cast("int") - 1, F.lit(0))
-            last = F.least(F.ceil(step).cast("int") + 1, F.lit(GRID))
-            low[i] = F.get(found["grid"], first)
-            high[i] = F.get(found["grid"], last)
-
-    # Everything under the bracket becomes one null-valued row that carries its count.
-    entries = F.array(
-        *[
+    column: str
+    low: float | None = None
+    high: float | None = None
+    rows: int = 0
+    wanted: int = 0
+
+    @property
+    def found(self) -> bool:
+        return self.low == self.high
+
+    def inside(self, value: Column) -> Column:
+        if self.low is None:
+            return value
+        return F.when((value >= self.low) & (value <= self.high), value)
+
+    def below(self, value: Column) -> Column:
+        return F.lit(0) if self.low is None else F.count_if(value < self.low)
+
+
+def _narrow(df: DataFrame, open_: list[_Search], p: float, first: bool) -> None:
+    """One pass over the open columns: sketch the values inside each bracket and tighten it."""
+    shares = " ".join(str(g / GRID) for g in range(GRID + 1))
+    grid = F.split(F.lit(shares), " ").cast("array<double>")
+    measured = []
+    for i, search in enumerate(open_):
+        value = F.col(search.column).cast("double")
+        inside = search.inside(value)
+        measured += [
+            F.count(inside).alias(f"n{i}"),
+            search.below(value).alias(f"below{i}"),
+            F.percentile_approx(inside, grid, ACCURACY).alias(f"grid{i}"),
+        ]
+    row = df.agg(*measured).first()
+    for i, search in enumerate(open_):
+        rows, below, cuts = row[f"n{i}"], row[f"below{i}"], row[f"grid{i}"]
+        if first:
+            search.wanted = math.ceil(rows * p)
+        if not rows:
+            continue
+        step = (search.wanted - below) * GRID / rows
+        search.low = cuts[max(math.floor(step) - 1, 0)]
+        search.high = cuts[min(math.ceil(step) + 1, GRID)]
+        search.rows = math.ceil(rows * 4 / GRID)
+
+
+def _pick(df: DataFrame, open_: list[_Search]) -> None:
+    """Count the distinct values left in each bracket and take the one at the wanted rank."""
+    entries = []
+    for i, search in enumerate(open_):
+        value = F.col(search.column).cast("double")
+        # Everything under the bracket becomes one null value that carries its count.
+        entries.append(
             F.struct(
                 F.lit(i).alias("number"),
-                F.when(F.col(f"c{i}") >= low[i], F.col(f"c{i}")).alias("value"),
-                (F.col(f"c{i}") <= high[i]).alias("kept"),
+                F.when(value >= search.low, value).alias("value"),
+                (value <= search.high).alias("kept"),
+                F.lit(search.wanted).cast("bigint").alias("wanted"),
             )
-            for i in numbers
-        ]
-    )
+        )
     counts = (
-        values.select(F.explode(entries).alias("e"))
-        .select("e.*")
+        df.select(F.inline(F.array(*entries)))
         .where("kept")
-        .groupBy("number", "value")
+        .groupBy("number", "wanted", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     upto = (
@@ -84,20 +93,36 @@ def exact_quantile(
         .orderBy(F.col("value").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    target = F.element_at(F.array(*wanted), F.col("number") + 1)
-    names = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("number") + 1)
-    return (
-        counts.withColumn("upto", F.sum("n").over(upto))
-        .where(F.col("upto") >= target)
-        .groupBy("number")
-        .agg(F.min("value").alias("value"))
-        .select(names.alias("column"), "value")
-    )
+    reached = counts.withColumn("upto", F.sum("n").over(upto)).where(F.col("upto") >= F.col("wanted"))
+    for row in reached.groupBy("number").agg(F.min("value").alias("value")).collect():
+        open_[row["number"]].low = open_[row["number"]].high = row["value"]
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], refinements: int = 2) -> Column:
-    """One scalar map ``column -> median`` to use inside another query; all-null columns are absent."""
-    found = exact_quantile(df, columns, 0.5, refinements)
-    return found.agg(
-        F.map_from_entries(F.collect_list(F.struct("column", "value"))).alias("medians")
-    ).scalar()
+def exact_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    p: float = 0.5,
+    small_input: int = SMALL_INPUT_BYTES,
+    sorted_rows: int = SORTED_ROWS,
+) -> dict[str, float | None]:
+    """The smallest value of each column whose share of rows at or below it reaches ``p``.
+
+    ``percentile_disc`` keeps every distinct value of a column in one task, which only small
+    inputs allow. For others each pass sketches the values inside a bracket and narrows it to a few grid steps around the wanted
+    rank, until at most ``sorted_rows`` rows are left to be counted per value and put in order.
+    The driver receives one row of sketch cuts per pass. All-null columns give None.
+    """
+    if is_small(df, small_input):
+        exact = [F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY `{c}`)").alias(c) for c in columns]
+        return df.agg(*exact).first().asDict()
+    searches = [_Search(c) for c in columns]
+    _narrow(df, searches, p, first=True)
+    while open_ := [s for s in searches if not s.found and s.rows > sorted_rows]:
+        widths = [(s.low, s.high) for s in open_]
+        _narrow(df, open_, p, first=False)
+        if widths == [(s.low, s.high) for s in open_]:
+            # A few heavy values fill the brackets: counting them per value is small work.
+            break
+    if open_ := [s for s in searches if not s.found]:
+        _pick(df, open_)
+    return {s.column: s.low for s in searches}

@@ -1,0 +1,24 @@
+"""How much data a query reads, as far as the session tells."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# Inputs smaller than this fit one task, so nothing of theirs needs splitting.
+SMALL_INPUT_BYTES = 256 << 20
+
+
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files and tables ``df`` reads, or None when the session does not tell."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return sum(
+            int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size())
+        )
+    except (AttributeError, NotImplementedError):
+        return None
+
+
+def is_small(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> bool:
+    size = input_bytes(df)
+    return size is not None and size < limit

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from trolley.columns import DEFAULT, ITEM_ID_WIDTH, Columns
 from trolley.functions.calendar import as_event_time
 from trolley.functions.keys import clean_text, pad_id
-from trolley.functions.quantiles import exact_medians
+from trolley.functions.quantiles import exact_quantiles
 
 # Types that count as numeric when filling gaps.
 FILLABLE = ("int", "bigint", "double", "float")
@@ -101,14 +101,16 @@ def impute_constant(df: DataFrame, values: Mapping[str, str] | None = None) -> D
     return df.fillna({**own, **rest})
 
 
-def impute_median(df: DataFrame, columns: list[str], refinements: int = 2) -> DataFrame:
-    """Fill gaps with the exact lower median of the column; an all-null column stays null."""
-    if not columns:
-        return df
-    medians = exact_medians(df, columns, refinements)
+def impute_median(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Fill gaps with the exact lower median of the column; an all-null column stays null.
+
+    The medians are found when this is called, in one or a few column-pruned passes.
+    """
     types = dict(df.dtypes)
+    medians = exact_quantiles(df, columns) if columns else {}
+    known = {c: m for c, m in medians.items() if m is not None}
     return df.withColumns(
-        {c: F.coalesce(F.col(c), F.try_element_at(medians, F.lit(c)).cast(types[c])) for c in columns}
+        {c: F.coalesce(F.col(c), F.lit(m).cast(types[c])) for c, m in known.items()}
     )
 
 

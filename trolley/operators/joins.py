@@ -8,24 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trolley.columns import DEFAULT, Columns
+from trolley.functions.sizes import SMALL_INPUT_BYTES, is_small
 
 # A key above this share of the rows is split; at most 1 / HOT_SHARE keys can exceed it.
 HOT_SHARE = 1e-4
 # A key with fewer rows than this is never split.
 HOT_ROWS = 1_000_000
-# Inputs smaller than this fit one task, so no key of theirs needs splitting.
-SMALL_INPUT_BYTES = 256 << 20
-
-
-def input_bytes(df: DataFrame) -> int | None:
-    """Bytes of the files and tables ``df`` reads, or None when the session does not tell."""
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(
-            int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size())
-        )
-    except (AttributeError, NotImplementedError):
-        return None
 
 
 def hot_keys(
@@ -60,8 +48,7 @@ def skew_join(
     join, where Spark broadcasts a table whose measured size allows it.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    size = input_bytes(facts)
-    if size is not None and size < small_input:
+    if is_small(facts, small_input):
         return facts.join(table, keys, how)
 
     hot = hot_keys(facts, keys, share, min_rows)

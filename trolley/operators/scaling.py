@@ -20,10 +20,11 @@ def standard_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ).scalar()
 
     def scaled(c: str):
-        std = stats[f"std_{c}"]
-        return (F.col(c) - stats[f"mean_{c}"]) / F.when(std == 0, 1.0).otherwise(std)
+        std = F.col(f"_stats.std_{c}")
+        return (F.col(c) - F.col(f"_stats.mean_{c}")) / F.when(std == 0, 1.0).otherwise(std)
 
-    return df.withColumns({c: scaled(c) for c in columns})
+    measured = df.withColumn("_stats", stats)
+    return measured.withColumns({c: scaled(c) for c in columns}).drop("_stats")
 
 
 def scale_vectors(df: DataFrame, column: str) -> DataFrame:
