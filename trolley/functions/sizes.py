@@ -10,13 +10,10 @@ SMALL_INPUT_BYTES = 256 << 20
 
 def input_bytes(df: DataFrame) -> int | None:
     """Bytes of the files and tables ``df`` reads, or None when the session does not tell."""
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(
-            int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size())
-        )
-    except (AttributeError, NotImplementedError):
+    if not hasattr(df, "_jdf"):
         return None
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def is_small(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> bool:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trolley.columns import DEFAULT, Columns
 from trolley.functions.sizes import SMALL_INPUT_BYTES, is_small
@@ -18,18 +19,18 @@ HOT_ROWS = 1_000_000
 
 def hot_keys(
     df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Keys holding more than ``share`` of the rows, with the number of slices to cut them into.
+) -> list[tuple]:
+    """``(*key, slices)`` of the keys holding more than ``share`` of the rows, null keys included.
 
-    Counts are combined before the shuffle. The result has at most ``1 / share`` rows, however
-    large ``df`` is, which is the bound that allows broadcasting it.
+    ``slices`` is the number of parts to cut a key into. Counts are combined before the shuffle
+    and filtered before they leave the executors; at most ``1 / share`` keys can pass.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).dropna(subset=list(keys))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     limit = F.greatest(total * F.lit(share), F.lit(float(min_rows)))
-    return counts.where(F.col("_rows") > limit).select(
-        *keys, F.ceil(F.col("_rows") / limit).cast("int").alias("_slices")
-    )
+    hot = counts.withColumn("_limit", limit).where(F.col("_rows") > F.col("_limit"))
+    slices = F.ceil(F.col("_rows") / F.col("_limit")).cast("int")
+    return [tuple(row) for row in hot.select(*keys, slices.alias("_slices")).collect()]
 
 
 def skew_join(
@@ -37,27 +38,39 @@ def skew_join(
     table: DataFrame,
     on: str | Sequence[str],
     how: str = "left",
+    counted: DataFrame | None = None,
     share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
     small_input: int = SMALL_INPUT_BYTES,
 ) -> DataFrame:
     """Join ``facts`` to a keyed ``table`` (one row per key); ``how`` is left or inner.
 
-    Large inputs: rows of a hot key are spread over several slices and its one table row is
-    repeated per slice; rows with a null key are spread as well. Small inputs keep the plain
-    join, where Spark broadcasts a table whose measured size allows it.
+    Rows of a hot key are spread over several slices and its one table row is repeated per
+    slice; rows with a hot null key are spread as well. The hot keys are found when this is
+    called, in one pass over the key columns of ``counted``: give the stored log there when
+    ``facts`` is a join on top of it with the same keys per row. Small inputs and logs without a
+    hot key get the plain join, where Spark broadcasts a table whose measured size allows it.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if is_small(facts, small_input):
         return facts.join(table, keys, how)
+    found = hot_keys(facts if counted is None else counted, keys, share, min_rows)
+    if not found:
+        return facts.join(table, keys, how)
 
-    hot = hot_keys(facts, keys, share, min_rows)
-    # Copies of one row share a hash, so the partition number takes part in the spreading.
-    spread = F.xxhash64(*facts.columns) + F.spark_partition_id()
+    schema = T.StructType(
+        [facts.schema[k] for k in keys] + [T.StructField("_slices", T.IntegerType())]
+    )
+    known = [row for row in found if None not in row[:-1]]
+    hot = facts.sparkSession.createDataFrame(known, schema)
+    empty = max((row[-1] for row in found if None in row[:-1]), default=1)
     no_key = F.lit(False)
     for key in keys:
         no_key = no_key | F.col(key).isNull()
-    slices = F.when(no_key, F.lit(int(1 / share))).otherwise(F.coalesce("_slices", F.lit(1)))
+    slices = F.when(no_key, F.lit(empty)).otherwise(F.coalesce("_slices", F.lit(1)))
+    # Copies of one row share a hash, so the partition number takes part in the spreading. Both
+    # are the same again when a lost task is repeated.
+    spread = F.xxhash64(*facts.columns) + F.spark_partition_id()
     left = (
         facts.join(F.broadcast(hot), keys, "left")
         .withColumn("_slice", F.pmod(spread, slices).cast("int"))
@@ -77,7 +90,8 @@ def star_join(
     transactions: DataFrame, customers: DataFrame, articles: DataFrame, cols: Columns = DEFAULT
 ) -> DataFrame:
     """Every transaction with its customer and article attributes."""
-    return skew_join(skew_join(transactions, customers, cols.user), articles, cols.item)
+    named = skew_join(transactions, customers, cols.user)
+    return skew_join(named, articles, cols.item, counted=transactions)
 
 
 def duplicate_columns(df: DataFrame) -> list[str]:

@@ -28,7 +28,8 @@ def ranking_features(
         "days_since_last_sale",
         "embedding_available",
     )
-    joined = skew_join(skew_join(facts, user_side, cols.user, "inner"), item_side, cols.item, "inner")
+    joined = skew_join(facts, user_side, cols.user, "inner")
+    joined = skew_join(joined, item_side, cols.item, "inner", counted=facts)
     relative_price = F.when(
         F.col("avg_spend") > 0, F.col("avg_item_price") / F.col("avg_spend")
     ).otherwise(F.lit(0.0))

@@ -41,10 +41,10 @@ def scale_vectors(df: DataFrame, column: str) -> DataFrame:
     ).scalar()
     zipped = F.zip_with(
         F.col(column).cast("array<double>"),
-        stats,
+        F.col("_stats"),
         lambda x, s: (x - s["mean"]) / F.when(s["std"] == 0, 1.0).otherwise(s["std"]),
     )
-    return df.withColumn(column, zipped)
+    return df.withColumn("_stats", stats).withColumn(column, zipped).drop("_stats")
 
 
 def finite_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
