@@ -200,7 +200,7 @@ def impute_constant(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def star_join(spark: SparkSession, folder: str) -> DataFrame:
-    return joins.star_join(*t.star(spark, folder))
+    return joins.star_join(t.transactions(spark, folder), t.customers(spark, folder), t.articles(spark, folder))
 
 
 @query
@@ -226,7 +226,7 @@ def preferred_channel(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def customer_features(spark: SparkSession, folder: str) -> DataFrame:
-    return users.customer_features(t.purchases(spark, folder))
+    return users.customer_features(t.stored_purchases(spark, folder))
 
 
 @query
@@ -236,7 +236,7 @@ def item_popularity(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def purchase_recency(spark: SparkSession, folder: str) -> DataFrame:
-    return users.purchase_recency(t.transactions(spark, folder))
+    return users.purchase_recency(t.stored_transactions(spark, folder))
 
 
 @query
@@ -278,7 +278,7 @@ def customer_sales_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def temporal_split(spark: SparkSession, folder: str) -> DataFrame:
-    return split.temporal_split(t.transactions(spark, folder))
+    return split.temporal_split(t.stored_transactions(spark, folder))
 
 
 @query
@@ -305,21 +305,19 @@ def purchase_gap(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def purchase_gap_events(spark: SparkSession, folder: str) -> DataFrame:
-    return users.purchase_gap_events(t.transactions(spark, folder))
+    return users.purchase_gap_events(t.stored_transactions(spark, folder))
 
 
 @query
 def user_features(spark: SparkSession, folder: str) -> DataFrame:
-    return users.user_features(t.purchases(spark, folder))
+    return users.user_features(t.stored_purchases(spark, folder))
 
 
-def _coded_purchases(spark: SparkSession, folder: str) -> DataFrame:
+def _item_table(spark: SparkSession, folder: str, log: DataFrame | None = None) -> DataFrame:
+    bought = t.stored_transactions(spark, folder) if log is None else log
     codes = t.articles(spark, folder).select("article_id", *ITEM_CODES)
-    return joins.skew_join(t.transactions(spark, folder), codes, "article_id")
-
-
-def _item_table(spark: SparkSession, folder: str) -> DataFrame:
-    return items.item_features(_coded_purchases(spark, folder), t.raw_embeddings(spark, folder))
+    coded = joins.skew_join(bought, codes, "article_id")
+    return items.item_features(coded, t.raw_embeddings(spark, folder))
 
 
 @query
@@ -330,8 +328,8 @@ def item_features(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def ranking_features(spark: SparkSession, folder: str) -> DataFrame:
-    log = t.purchases(spark, folder)
-    return ranking.ranking_features(log, users.user_features(log), _item_table(spark, folder))
+    log = t.stored_purchases(spark, folder)
+    return ranking.ranking_features(log, users.user_features(log), _item_table(spark, folder, log))
 
 
 @query
@@ -408,7 +406,7 @@ def item_index(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def vocab_category(spark: SparkSession, folder: str) -> DataFrame:
-    return encoding.vocabulary(users.customer_features(t.purchases(spark, folder)), "favorite_category")
+    return encoding.vocabulary(users.customer_features(t.stored_purchases(spark, folder)), "favorite_category")
 
 
 @query
@@ -426,7 +424,7 @@ def align_items(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def encode_user_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    return encoding.encode_user_matrix(users.user_features(t.purchases(spark, folder)))
+    return encoding.encode_user_matrix(users.user_features(t.stored_purchases(spark, folder)))
 
 
 @query
@@ -437,7 +435,7 @@ def encode_item_matrix(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def encode_categories(spark: SparkSession, folder: str) -> DataFrame:
     """Vocabularies of the training period, applied to the users of the whole log."""
-    log = t.purchases(spark, folder)
+    log = t.stored_purchases(spark, folder)
     wanted = {"favorite_category": "product_group_name", "favorite_color": "colour_group_name"}
     early = split.temporal_split(log, split.Ratios(0.02, 0.0, 0.98))
     seen = favorites.favorites(early.where(F.col("split") == split.TRAIN), wanted)
@@ -446,19 +444,19 @@ def encode_categories(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _indexed_items(spark: SparkSession, folder: str) -> DataFrame:
-    bought = t.transactions(spark, folder).select("article_id")
-    stored = items.dedup_embeddings(t.raw_embeddings(spark, folder)).select("article_id")
-    return encoding.item_index(bought.join(stored, "article_id", "left_semi"))
+def _indexed_items(log: DataFrame, embeddings: DataFrame) -> DataFrame:
+    stored = items.dedup_embeddings(embeddings).select("article_id")
+    return encoding.item_index(log.select("article_id").join(stored, "article_id", "left_semi"))
 
 
 @query
 def negative_samples(spark: SparkSession, folder: str) -> DataFrame:
-    return training.negative_samples(t.transactions(spark, folder), _indexed_items(spark, folder))
+    log = t.stored_transactions(spark, folder)
+    return training.negative_samples(log, _indexed_items(log, t.raw_embeddings(spark, folder)))
 
 
 def _ranking_rows(spark: SparkSession, folder: str) -> DataFrame:
-    log = t.transactions(spark, folder)
+    log = t.stored_transactions(spark, folder)
     per_user = log.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("purchase_count"), F.avg("price").alias("avg_spend")
     )
@@ -480,7 +478,7 @@ def label_balance(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def two_tower_dataset(spark: SparkSession, folder: str) -> DataFrame:
-    log = t.transactions(spark, folder)
+    log = t.stored_transactions(spark, folder)
     prepared = training.two_tower_dataset(
         log, encoding.user_index(log), encoding.item_index(log), t.raw_embeddings(spark, folder)
     )
