@@ -16,7 +16,7 @@ from trolley.columns import (
     Columns,
 )
 from trolley.functions import calendar, vectors
-from trolley.functions.scratch import scratch_path
+from trolley.functions.scratch import materialize, scratch_path
 from trolley.operators import (
     clean,
     encoding,
@@ -682,7 +682,9 @@ def binary_metrics(spark: SparkSession, folder: str) -> DataFrame:
 def fit_ranker(spark: SparkSession, folder: str) -> DataFrame:
     """Fit on four fifths of the ranking rows and measure on the rest."""
     numerics = [*TRAINING_USER_NUMERICS, *TRAINING_ITEM_NUMERICS]
-    rows = split.hash_split(_ranking_rows(spark, folder), ["shuffle_key"])
+    rows = materialize(
+        split.hash_split(_ranking_rows(spark, folder), ["shuffle_key"]), "ranker-rows"
+    )
     model = models.fit_ranker(
         rows.where(F.col("split") == split.TRAIN), numerics, "image_embedding"
     )
@@ -697,6 +699,7 @@ def fit_wide_ranker(spark: SparkSession, folder: str) -> DataFrame:
         "label", (F.col("price") > F.col("user_avg_price")).cast("int")
     )
     numerics = [c for c in RANKING_NUMERICS if c not in ("price_affinity", "popularity_price_score")]
+    wide = materialize(wide.select(*numerics, "label"), "wide-ranker-rows")
     model = models.fit_ranker(wide, numerics, trees=True)
     return metrics.binary_metrics(models.score_rows(model, wide, numerics))
 

@@ -4,34 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trolley.columns import DEFAULT, Columns
 
 
-def _most_frequent(value: str, count: str) -> Column:
-    """Highest count, then lowest value, null last."""
-    ranked = F.struct((-F.col(count)).alias("n"), F.col(value).isNull().alias("gap"), F.col(value))
-    return F.min(ranked)[value]
-
-
-def favorites(df: DataFrame, wanted: Mapping[str, str], cols: Columns = DEFAULT) -> DataFrame:
+def favorites(
+    df: DataFrame,
+    wanted: Mapping[str, str],
+    cols: Columns = DEFAULT,
+    distinct: Mapping[str, str] | None = None,
+) -> DataFrame:
     """One row per user with the favourite of each column in ``wanted`` (output name -> column).
 
-    Purchases are counted once per combination of the wanted columns, combined before the
-    shuffle; that shuffle is shared by all favourites, which are then aggregated from counts.
+    The favourite has the highest count, then the lowest value; null is a value that loses ties.
+    ``distinct`` names outputs that count the different non-null values of a wanted column.
+
+    All columns are counted in one pass with grouping sets, combined before the shuffle, so one
+    user's rows never meet in a single task; a second, small aggregation picks the winners.
     """
     sources = sorted(set(wanted.values()))
-    counts = df.groupBy(cols.user, *sources).agg(F.count(F.lit(1)).alias("_n"))
-    result = None
+    sets = [[cols.user, source] for source in sources]
+    every = (1 << len(sources)) - 1
+    counts = df.groupingSets(sets, cols.user, *sources).agg(
+        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n")
+    )
+
+    def in_set(source: str):
+        # A bit is set for each column left out of the grouping set.
+        return F.col("_set") == every - (1 << (len(sources) - 1 - sources.index(source)))
+
+    outputs = []
     for name, source in wanted.items():
-        pairs = counts
-        if len(sources) > 1:
-            pairs = counts.groupBy(cols.user, source).agg(F.sum("_n").alias("_n"))
-        one = pairs.groupBy(cols.user).agg(_most_frequent(source, "_n").alias(name))
-        result = one if result is None else result.join(one, cols.user)
-    return result
+        ranked = F.struct((-F.col("_n")).alias("n"), F.col(source).isNull().alias("gap"), F.col(source))
+        outputs.append(F.min(F.when(in_set(source), ranked))[source].alias(name))
+    for name, source in (distinct or {}).items():
+        outputs.append(F.count_if(in_set(source) & F.col(source).isNotNull()).alias(name))
+    return counts.groupBy(cols.user).agg(*outputs)
 
 
 def favorite(df: DataFrame, source: str, name: str, cols: Columns = DEFAULT) -> DataFrame:

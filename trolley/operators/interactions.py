@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 
 from trolley.columns import DEFAULT, Columns
 from trolley.functions.calendar import temporal_features
-from trolley.operators.favorites import favorite
+from trolley.operators.favorites import favorites
 from trolley.operators.items import item_popularity
 from trolley.operators.joins import skew_join
-from trolley.operators.users import customer_features
 
 
 def _before(df: DataFrame, time: str, as_of: object | None) -> DataFrame:
@@ -96,11 +95,16 @@ def two_tower_interactions(
     """Purchases with attributes, calendar parts, user summary, item popularity and favourites."""
     known = _before(transactions, cols.time, as_of)
     groups = articles.select(cols.item, cols.category, cols.color)
-    narrow = skew_join(
-        known.select(cols.user, cols.item, cols.price, cols.day), groups, cols.item
+    narrow = skew_join(known.select(cols.user, cols.item), groups, cols.item)
+    totals = known.groupBy(cols.user).agg(
+        F.count(F.lit(1)).alias("purchase_count"),
+        F.avg(cols.price).alias("avg_spend"),
+        F.max(cols.day).alias("last_purchase"),
     )
-    liked = favorite(narrow, cols.color, "favorite_color", cols)
-    summary = customer_features(narrow, cols).join(liked, cols.user, "left")
+    liked = favorites(
+        narrow, {"favorite_category": cols.category, "favorite_color": cols.color}, cols
+    )
+    summary = totals.join(liked, cols.user, "left")
     popularity = item_popularity(known, cols)
     users = summary.join(customers, cols.user, "full" if as_of is not None else "left")
     items = popularity.join(articles, cols.item, "full" if as_of is not None else "left")

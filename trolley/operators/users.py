@@ -88,7 +88,6 @@ def user_features(df: DataFrame, cols: Columns = DEFAULT) -> DataFrame:
         F.count(F.lit(1)).alias("purchase_count"),
         F.avg(cols.price).alias("avg_spend"),
         F.avg(is_weekend(cols.time)).alias("weekend_ratio"),
-        F.count_distinct(cols.category).alias("category_diversity"),
         mean_gap_days(cols.time).alias("avg_purchase_gap_days"),
     )
     liked = favorites(
@@ -99,6 +98,7 @@ def user_features(df: DataFrame, cols: Columns = DEFAULT) -> DataFrame:
             "favorite_color": cols.color,
         },
         cols,
+        distinct={"category_diversity": cols.category},
     )
     return base.join(liked, cols.user, "left").select(
         cols.user,
