@@ -32,6 +32,17 @@ def duck(folder: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+# DuckDB type names and the Spark types they must meet.
+TYPES = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "FLOAT": "float",
+    "VARCHAR": "string",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
 def _plain(value):
     if value is None or value != value:
         return None
@@ -56,10 +67,11 @@ def differences(df: DataFrame, connection, statement: str) -> str | None:
     found = rows_of(df.columns, df.collect())
     if sorted(df.columns) != sorted(names):
         return f"columns {sorted(df.columns)} / {sorted(names)}"
-    kinds = {type(v).__name__ for row in found for v in row}
-    kinds_wanted = {type(v).__name__ for row in wanted for v in row}
-    if kinds != kinds_wanted:
-        return f"types {kinds} / {kinds_wanted}"
+    kinds = dict(df.dtypes)
+    described = connection.execute(f"DESCRIBE {statement}").fetchall()
+    unlike = [(n, kinds[n], k) for n, k, *_ in described if TYPES.get(k, k) != kinds[n]]
+    if unlike:
+        return f"types {unlike}"
     if len(found) != len(wanted):
         return f"rows {len(found)} / {len(wanted)}"
     bad = [(a, b) for a, b in zip(found, wanted) if a != b]
