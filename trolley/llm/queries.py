@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trolley.llm import bpe, token_planes
+from trolley.llm import bpe, language, ordinal_quality, token_planes, toxicity
 from trolley.llm.common import read_table
 
 
@@ -14,6 +14,20 @@ def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.stored_digest(documents, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.held_out_predictions(read_table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return toxicity.held_out_scores(documents, labels)
+
+
+def op8_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return ordinal_quality.rate(documents, labels)
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return bpe.round_trip_digest(documents, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -21,6 +35,9 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_planes": op1_token_planes,
+    "op2_language_id": op2_language_id,
+    "op5_toxicity": op5_toxicity,
+    "op8_ordinal_quality": op8_ordinal_quality,
     "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLE_SQL: dict[str, str] = {}
