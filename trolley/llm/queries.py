@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trolley.llm import bpe, language, ordinal_quality, token_planes, toxicity
+from trolley.llm import bpe, language, ordinal_quality, suffix_dedup, token_planes, toxicity
 from trolley.llm.common import read_table
 
 
@@ -23,6 +23,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.held_out_scores(documents, labels)
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op8_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     return ordinal_quality.rate(documents, labels)
@@ -37,6 +41,7 @@ QUERIES = {
     "op1_token_planes": op1_token_planes,
     "op2_language_id": op2_language_id,
     "op5_toxicity": op5_toxicity,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_ordinal_quality": op8_ordinal_quality,
     "op10_byte_bpe": op10_byte_bpe,
 }
