@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trolley.llm import bpe, language, ordinal_quality, suffix_dedup, token_planes, toxicity
+from trolley.llm import bpe, language, ordinal_quality, suffix_dedup, syncmers, token_planes, toxicity
 from trolley.llm.common import read_table
 
 
@@ -32,6 +32,10 @@ def op8_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_quality.rate(documents, labels)
 
 
+def op9_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.edited_likeness(read_table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return bpe.round_trip_digest(documents, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -43,6 +47,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_ordinal_quality": op8_ordinal_quality,
+    "op9_syncmers": op9_syncmers,
     "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLE_SQL: dict[str, str] = {}
