@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trolley.llm import bpe, language, ordinal_quality, suffix_dedup, syncmers, token_planes, toxicity
+from trolley.llm import bpe, language, lsh_forest, ordinal_quality, suffix_dedup, syncmers, token_planes, toxicity
 from trolley.llm.common import read_table
 
 
@@ -23,6 +23,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.held_out_scores(documents, labels)
 
 
+def op6_lsh_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_digest(read_table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ QUERIES = {
     "op1_token_planes": op1_token_planes,
     "op2_language_id": op2_language_id,
     "op5_toxicity": op5_toxicity,
+    "op6_lsh_forest_join": op6_lsh_forest_join,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_ordinal_quality": op8_ordinal_quality,
     "op9_syncmers": op9_syncmers,
