@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trolley.llm import bpe, language, lsh_forest, ordinal_quality, suffix_dedup, syncmers, token_planes, toxicity
+from trolley.llm import bpe, hilbert, language, lsh_forest, mixing, ordinal_quality, suffix_dedup, syncmers, token_planes, toxicity
 from trolley.llm.common import read_table
 
 
@@ -18,6 +18,14 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.held_out_predictions(read_table(spark, sf_dir, "documents"))
 
 
+def op3_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.every_twentieth(read_table(spark, sf_dir, "embeddings"))
+
+
+def op4_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_report(read_table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     return toxicity.held_out_scores(documents, labels)
@@ -48,6 +56,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_planes": op1_token_planes,
     "op2_language_id": op2_language_id,
+    "op3_hilbert_neighbours": op3_hilbert_neighbours,
+    "op4_temperature_mixing": op4_temperature_mixing,
     "op5_toxicity": op5_toxicity,
     "op6_lsh_forest_join": op6_lsh_forest_join,
     "op7_suffix_dedup": op7_suffix_dedup,
@@ -55,4 +65,4 @@ QUERIES = {
     "op9_syncmers": op9_syncmers,
     "op10_byte_bpe": op10_byte_bpe,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op4_temperature_mixing": mixing.ORACLE_SQL}
