@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trolley.functions.scratch import materialize
+
 #: Texts of at most so many bytes are turned into numpy arrays together; a longer text goes alone.
 SLICE_BYTES = 2_000_000
 
@@ -45,6 +47,21 @@ def text_slices(
         yield batch.slice(start), texts[start:]
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    Its shuffle files are removed as soon as the table is there, so that a job of several steps holds
+    only the tables between them and the shuffles of one step.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        return materialize(df, name)
+    finally:
+        conf.set(key, before)
+
+
 def crc_remainder(column: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id has remainder 0."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % modulus, F.lit(0))

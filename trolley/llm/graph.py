@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.functions.scratch import materialize
+from trolley.llm.common import stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -16,9 +16,9 @@ def components(edges: DataFrame) -> DataFrame:
     nodes, and Spark splits the partition of a node with many edges.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    links = materialize(both.distinct(), "links")
+    links = stored(both.distinct(), "links")
     labels = links.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component"))
-    labels = materialize(labels, "labels")
+    labels = stored(labels, "labels")
     while True:
         near = links.join(labels.select(F.col("node").alias("b"), "component"), "b")
         near = near.groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
@@ -26,7 +26,7 @@ def components(edges: DataFrame) -> DataFrame:
         now = labels.join(near, "node").join(own, "component").select(
             "node", F.least("near", "up").alias("component"), (F.least("near", "up") < F.col("component")).alias("moved")
         )
-        now = materialize(now, "labels")
+        now = stored(now, "labels")
         labels = now.drop("moved")
         if now.where("moved").isEmpty():
             return labels

@@ -7,7 +7,7 @@ pointer; equal windows have equal q-grams at equal distances, so they belong to
 * Initial buckets are the q-grams at pointers. A pointer stands for all window starts that belong to
   it, a run of distances; their bytes together are its context.
 * A bucket with one entry has no repeat. A bucket whose entries have one context is settled: all
-  their windows repeat.
+  their windows repeat. So are entries of one context in any bucket; one of them goes on for all.
 * All other entries are refined: their runs are cut into blocks of distances, and the new bucket is
   the identifier of the bytes that all windows of the block share (at later and earlier offsets than
   the q-gram). The step is repeated on what is not settled with blocks of one distance, where a
@@ -27,18 +27,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import worker_cache
+from trolley.llm.common import stored, worker_cache
 
 WINDOW, GRAM = 200, 32
 REACH = WINDOW - GRAM  # the largest distance of a window start to its pointer
 #: Distances of a block in each refinement; the last must be 1.
-BLOCKS = (32, 1)
+BLOCKS = (32, 8, 1)
 #: Bytes whose hashes are made together; bounds the memory of a long text.
 CHUNK = 1 << 20
 POSITION = np.uint64((1 << 21) - 1)
+#: Texts are shuffled once, compressed at this level.
+LEVEL = 1
 ENTRY = "key bigint, context bigint, row_id bigint, row_hash int, at int, near int, far int"
 
 
@@ -155,16 +158,27 @@ def _scan_long(batch: pa.RecordBatch, i: int, data: bytes) -> Iterator[pa.Record
         yield _entries(key, context, batch.column(0).take(row), batch.column(1).take(row), at + begin, at - hi, at - lo)
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``row_id, row_hash, text`` and kept columns with the text's compressed bytes in its place."""
+    compress = zstandard.ZstdCompressor(level=LEVEL).compress
+    for batch in batches:
+        for begin in range(0, batch.num_rows, 1024):
+            rows = batch.slice(begin, 1024)
+            body = pa.array([compress((t or "").encode()) for t in rows.column(2).to_pylist()], pa.binary())
+            names = ["row_id", "row_hash", "body", *rows.schema.names[3:]]
+            yield pa.RecordBatch.from_arrays([*rows.columns[:2], body, *rows.columns[3:]], names)
+
+
 def _refiner(block: int):
-    """Entries of blocks of ``block`` distances for rows ``row_id, row_hash, doc_id, text, at, near,
-    far``, where the last three are arrays of a text's entries."""
+    """Entries of blocks of ``block`` distances for rows ``row_id, row_hash, body, at, near, far``, where the last three are arrays of a text's entries."""
 
     def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller = _roller()
+        expand = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for i in range(batch.num_rows):
-                text = batch.column(3)[i].as_py().encode()
-                entries = [np.array(batch.column(k)[i].as_py(), np.int64) for k in (4, 5, 6)]
+                text = expand(batch.column(2)[i].as_py())
+                entries = [np.array(batch.column(k)[i].as_py(), np.int64) for k in (3, 4, 5)]
                 order = np.argsort(entries[0], kind="stable")
                 at, near, far = (e[order] for e in entries)
                 for a, b in itertools.pairwise(np.searchsorted(at, range(0, len(text) + CHUNK, CHUNK)).tolist()):
@@ -190,43 +204,66 @@ def _blocks(roller: Roller, data: np.ndarray, at, near, far, block: int) -> tupl
     # All windows of the block share the bytes from its nearest start to its farthest start's end.
     core = roller.spans(sums, at - number * block, at - number * block - block + 1 + WINDOW)
     gram = roller.spans(sums, at, at + GRAM)
-    context = _mixed(roller.spans(sums, at - hi, at - lo + WINDOW), lo, hi)
+    if block == 1:  # the bucket is the whole window
+        context = np.zeros(len(at), np.uint64)
+    else:
+        context = _mixed(roller.spans(sums, at - hi, at - lo + WINDOW), lo, hi)
     return _mixed(core, number, gram), context, at, lo, hi
 
 
-def _sorted_out(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Settled spans to remove, and the entries to refine."""
+OWN = ["row_id", "row_hash", "at", "near", "far"]
+
+
+def _marked(entries: DataFrame, name: str) -> DataFrame:
+    """Entries of buckets with several, stored; ``key`` and ``context`` are null where settled."""
     buckets = entries.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("context").alias("low"), F.max("context").alias("high")
     )
-    repeated = buckets.where("n > 1").select("key", (F.col("low") == F.col("high")).alias("settled"))
+    repeated = buckets.where("n > 1").select("key", (F.col("low") != F.col("high")).alias("open"))
     # Not broadcast: repeated buckets grow with the corpus. Spark splits the partitions of hot ones.
-    marked = entries.drop("context").join(repeated.hint("merge"), "key")
-    spans = marked.where("settled").select(
+    marked = entries.join(repeated.hint("merge"), "key")
+    kept = [F.when(F.col("open"), F.col(c)).alias(c) for c in ("key", "context")]
+    return stored(marked.select(*kept, *OWN), name)
+
+
+def _sorted_out(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Settled spans to remove, and the entries to refine: one of each context of an open bucket."""
+    mixed = marked.where(F.col("key").isNotNull())
+    contexts = mixed.groupBy("key", "context").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(*OWN)).alias("one")
+    )
+    # Entries of one context settle each other; one of them still stands for it in its bucket.
+    same = mixed.join(contexts.where("n > 1").select("key", "context").hint("merge"), ["key", "context"])
+    settled = marked.where(F.col("key").isNull()).select(*OWN).unionByName(same.select(*OWN))
+    spans = settled.select(
         "row_id", "row_hash", (F.col("at") - F.col("far")).alias("a"), (F.col("at") - F.col("near") + WINDOW).alias("b")
     )
-    return spans, marked.where(~F.col("settled")).select("row_id", "row_hash", "at", "near", "far")
+    return spans, contexts.select("one.*")
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``doc_id, text, a, b`` (arrays or null) to ``doc_id, n_bytes, n_removed, n_spans, kept``."""
+    """Rows ``body, a, b`` (arrays or null) and kept columns, to the kept columns, ``n_bytes, n_removed,
+    n_spans`` and the bytes left."""
+    expand = zstandard.ZstdDecompressor().decompress
     for batch in batches:
         for begin in range(0, batch.num_rows, 256):
             rows = batch.slice(begin, 256)
             out = []
-            columns = (rows.column(k).to_pylist() for k in (1, 2, 3))
-            for text, starts, stops in zip(*columns, strict=True):
-                data = (text or "").encode()
+            columns = (rows.column(k).to_pylist() for k in (0, 1, 2))
+            for body, starts, stops in zip(*columns, strict=True):
+                data = expand(body)
                 removed = spans = 0
                 kept, done = [], 0
                 for a, b in _merged(starts, stops):
                     kept.append(data[done:a])
                     removed, spans, done = removed + b - a, spans + 1, b
                 kept.append(data[done:])
-                out.append((len(data), removed, spans, b"".join(kept)))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                left = b"".join(kept)
+                out.append((len(data), removed, spans, left, left.decode("utf-8", "ignore")))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string())
             made = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([rows.column(0), *made], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+            names = [*rows.schema.names[3:], "n_bytes", "n_removed", "n_spans", "kept_bytes", "kept_text"]
+            yield pa.RecordBatch.from_arrays([*rows.columns[3:], *made], names)
 
 
 def _merged(starts: list[int] | None, stops: list[int] | None) -> list[tuple[int, int]]:
@@ -239,41 +276,43 @@ def _merged(starts: list[int] | None, stops: list[int] | None) -> list[tuple[int
     return list(zip(a[first].tolist(), b[np.append(first[1:], len(a)) - 1].tolist(), strict=True))
 
 
-def keyed(documents: DataFrame) -> DataFrame:
-    """Rows by id and text: rows equal in both have the same spans."""
-    return documents.select(
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1)).alias("row_id"),
-        F.hash("doc_id", "text").alias("row_hash"),
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.coalesce("text", F.lit("")).alias("text"),
-    )
-
-
-def remove_repeats(documents: DataFrame) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept``: one row per document, ``kept`` its other bytes."""
-    rows = keyed(documents)
+def remove_repeats(documents: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of ``documents`` (``kept0``, ``kept1``, ...), ``n_bytes, n_removed, n_spans,
+    kept_bytes``, and ``kept_text``, which is without the code points that a cut has broken."""
+    kept = [F.col(f"`{c}`").alias(f"kept{i}") for i, c in enumerate(keep)]
+    # Rows by id and text: rows equal in both have the same spans.
+    rows = documents.select(
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1)).alias("row_id"), F.hash("doc_id", "text").alias("row_hash"), "text", *kept
+    )
+    own = "row_id bigint, row_hash int, "
+    more = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[3:])
+    bodies = rows.mapInArrow(_pack, f"{own}body binary{more}")
     entries = rows.select("row_id", "row_hash", "text").mapInArrow(_scan, ENTRY)
-    spans, open_entries = _sorted_out(entries)
-    found = [spans]
+    found, open_entries = _sorted_out(_marked(entries, "pointers"))
     # Sets, not lists: repeated rows of one id and text have the same entries.
     for block in BLOCKS:
         asked = open_entries.groupBy("row_id", "row_hash").agg(F.collect_set(F.struct("at", "near", "far")).alias("e"))
-        asked = asked.select("row_id", "row_hash", *[F.col(f"e.{k}").alias(k) for k in ("at", "near", "far")])
-        joined = rows.join(asked.hint("merge"), ["row_id", "row_hash"])
-        refined = joined.select("row_id", "row_hash", "doc_id", "text", "at", "near", "far").mapInArrow(_refiner(block), ENTRY)
-        spans, open_entries = _sorted_out(refined)
-        found.append(spans)
-    together = found[0]
-    for more in found[1:]:
-        together = together.unionByName(more)
-    cuts = together.groupBy("row_id", "row_hash").agg(F.collect_set(F.struct("a", "b")).alias("pairs"))
-    cuts = cuts.select("row_id", "row_hash", F.col("pairs.a").alias("a"), F.col("pairs.b").alias("b"))
-    joined = rows.join(cuts.hint("merge"), ["row_id", "row_hash"], "left")
-    schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
-    return joined.select("doc_id", "text", "a", "b").mapInArrow(_cut_out, schema)
+        joined = bodies.select("row_id", "row_hash", "body").join(asked.hint("merge"), ["row_id", "row_hash"])
+        entries = joined.select("row_id", "row_hash", "body", "e.at", "e.near", "e.far").mapInArrow(_refiner(block), ENTRY)
+        spans, open_entries = _sorted_out(_marked(entries, f"blocks-{block}"))
+        found = found.unionByName(spans)
+    cuts = found.groupBy("row_id", "row_hash").agg(F.collect_set(F.struct("a", "b")).alias("pairs"))
+    joined = bodies.join(cuts.hint("merge"), ["row_id", "row_hash"], "left")
+    schema = f"{more[2:]}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_bytes binary, kept_text string"
+    names = [f"kept{i}" for i in range(len(keep))]
+    return joined.select("body", "pairs.a", "pairs.b", *names).mapInArrow(_cut_out, schema)
+
+
+def without_repeats(documents: DataFrame) -> DataFrame:
+    """``documents`` with the repeats cut out of ``text``; ``n_chars`` is counted anew."""
+    others = [c for c in documents.columns if c not in ("text", "n_chars")]
+    left = remove_repeats(documents, others)
+    columns = {c: F.col(f"kept{i}") for i, c in enumerate(others)}
+    columns |= {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("bigint")}
+    return left.select(*[columns[c].alias(c) for c in documents.columns])
 
 
 def removal_digest(documents: DataFrame) -> DataFrame:
-    return remove_repeats(documents).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
-    )
+    return remove_repeats(documents, ["doc_id"]).select(
+        F.col("kept0").cast("bigint").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256")
+    )
