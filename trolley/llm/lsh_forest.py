@@ -28,9 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from trolley.functions.scratch import materialize
-from trolley.llm.common import worker_cache
+from trolley.llm.common import stored, worker_cache
 from trolley.llm.graph import components
 
 WORDS = 5
@@ -117,7 +117,7 @@ def _hasher() -> Hasher:
 
 
 def _sign(length: int):
-    """Rows ``doc_id, row_id, text`` to ``doc_id, row_id, class, buckets, signature``."""
+    """Rows ``doc_id, row_id, text, row_hash`` to ``doc_id, row_id, row_hash, class, buckets, signature``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = _hasher()
@@ -136,9 +136,9 @@ def _sign(length: int):
                         classes.append(None)
                         buckets.append([])
                         signatures.append(None)
-                columns = [rows.column(0), rows.column(1), pa.array(classes, pa.int64())]
+                columns = [rows.column(0), rows.column(1), rows.column(3), pa.array(classes, pa.int64())]
                 columns += [pa.array(buckets, pa.list_(pa.int64())), pa.array(signatures, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row_id", "class", "buckets", "signature"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row_id", "row_hash", "class", "buckets", "signature"])
 
     return run
 
@@ -306,20 +306,43 @@ def _blocks_of(size: Column, member: Column) -> tuple[Column, Column]:
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
-    """``doc_id, group_id, class_id, copies, n_links``, one row per document.
+    """``doc_id, group_id, class_id, copies, n_links``, one row per document."""
+    return _grouped(documents).select("doc_id", "group_id", "class_id", "copies", "n_links")
+
+
+def keep_one(documents: DataFrame) -> DataFrame:
+    """The rows of ``documents`` without near duplicates: of each group the one with the smallest id
+    (then text hash) stays. Rows without words stay."""
+    row_id = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))
+    has_words = F.coalesce(F.col("text").rlike("[^ \\t\\n\\x0B\\f\\r]"), F.lit(False))
+    rows = documents.select(
+        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), row_id.alias("row_id"),
+        F.xxhash64("doc_id", "text").alias("row_hash"), has_words.alias("has_words"),
+    )
+    found = _grouped(documents).where(F.col("group_key").isNotNull())
+    chosen = found.groupBy("group_key").agg(F.min(F.struct("row_id", "row_hash")).alias("one")).select("one.*")
+    # Of rows equal in id and text one is left before they are shuffled.
+    order = Window.partitionBy("row_id", "row_hash").orderBy("row_id")
+    single = rows.where("has_words").withColumn("copy", F.row_number().over(order)).where("copy = 1")
+    kept = single.join(chosen.hint("merge"), ["row_id", "row_hash"], "left_semi")
+    return kept.select("row").unionByName(rows.where("NOT has_words").select("row")).select("row.*")
+
+
+def _grouped(documents: DataFrame) -> DataFrame:
+    """One row per document; ``group_key`` is null without words.
 
     ``group_id``: the smallest id connected by links; ``class_id``: the smallest id of equal shingle
     sets; ``n_links``: other documents of the threshold's similarity or more, copies included.
     """
     row_id = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))
-    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), row_id.alias("row_id"), "text")
-    schema = "doc_id bigint, row_id bigint, class bigint, buckets array<bigint>, signature binary"
-    signed = materialize(rows.mapInArrow(_sign(prefix_length()), schema), "signed")
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), row_id.alias("row_id"), "text", F.xxhash64("doc_id", "text").alias("row_hash"))
+    schema = "doc_id bigint, row_id bigint, row_hash bigint, class bigint, buckets array<bigint>, signature binary"
+    signed = stored(rows.mapInArrow(_sign(prefix_length()), schema), "signed")
     classes = signed.where(F.col("class").isNotNull()).groupBy("class").agg(
         F.min("row_id").alias("class_id"), F.count(F.lit(1)).alias("copies"),
         F.first("buckets").alias("buckets"), F.first("signature").alias("signature"),
     )
-    classes = materialize(classes, "classes")
+    classes = stored(classes, "classes")
     paths = classes.select("class", F.explode("buckets").alias("bucket"))
     shared = paths.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     met = paths.join(shared.hint("merge"), "bucket").join(classes.select("class", "signature"), "class")
@@ -341,21 +364,23 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     dealt = sets.select("component", F.explode("blocks.pairs").alias("pair"), "blocks.block", "class", "copies", "shingles")
     dealt = dealt.select("component", "pair.i", "pair.j", "block", "class", "copies", "shingles")
     dealt = dealt.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "class")
-    found = materialize(dealt.mapInArrow(_verified, "class bigint, links bigint, root bigint"), "verified")
+    found = stored(dealt.mapInArrow(_verified, "class bigint, links bigint, root bigint"), "verified")
     linked = components(found.select(F.col("class").alias("a"), F.col("root").alias("b")))
     counted = found.groupBy("class").agg(F.sum("links").alias("links"))
     own = classes.select("class", "class_id", "copies").join(counted, "class", "left")
     own = own.join(linked.withColumnRenamed("node", "class"), "class", "left")
     own = own.withColumn("component", F.coalesce("component", "class"))
     firsts = own.groupBy("component").agg(F.min("class_id").alias("group_id"))
-    results = own.join(firsts, "component").select("class", "class_id", "group_id", "copies", "links")
+    results = own.join(firsts, "component").select(
+        "class", "class_id", "group_id", F.col("component").alias("group_key"), "copies", "links"
+    )
     # One class may have very many documents: Spark splits its partition, the other side is unique.
-    everyone = signed.select("doc_id", "row_id", "class").join(results.hint("merge"), "class", "left")
+    everyone = signed.select("doc_id", "row_id", "row_hash", "class").join(results.hint("merge"), "class", "left")
     real = lambda c: F.nullif(F.coalesce(c, "row_id"), F.lit(NO_ID))
     return everyone.select(
-        "doc_id",
+        "doc_id", "row_id", "row_hash", "group_key",
         real("group_id").alias("group_id"),
         real("class_id").alias("class_id"),
         F.coalesce("copies", F.lit(1)).alias("copies"),
         (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links"),
-    )
+    )

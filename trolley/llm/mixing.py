@@ -131,37 +131,38 @@ def _group() -> Column:
     return F.when(F.col("source").isNull(), "-").otherwise(F.concat(F.lit("+"), F.col("source").cast("string")))
 
 
-def mix(documents: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, budget: float | None = None) -> DataFrame:
-    """The rows of ``documents``, each as often as the mix takes it, with ``mix_epoch``, ``mix_block``
-    and ``mix_hash`` (a source's order is by these three) and the source's ``mix_weight``."""
-    chosen = plan(documents, entropy, repeats, budget).select(
-        F.col("group").alias("mix_group"), F.col("weight").alias("mix_weight"), F.struct("blocks", "full", "last_block", "last_hash").alias("mix_plan")
-    )
+def copies(documents: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, budget: float | None = None) -> DataFrame:
+    """``row`` (a row of ``documents``) as often as the mix takes it, with ``epoch``, ``block`` and
+    ``hash`` (a source's order is by these three) and the source's ``weight``."""
+    chosen = plan(documents, entropy, repeats, budget)
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
+    rows = documents.select(row, _group().alias("group"), _identity().alias("identity"))
     # A few rows per source: Spark broadcasts them if they are small, or splits a hot source's rows.
-    rows = documents.withColumns({"mix_group": _group(), "mix_identity": _identity()}).join(chosen, "mix_group")
-    p = F.col("mix_plan")
+    rows = rows.join(chosen, "group")
 
     def placed(epoch: Column) -> Column:
-        hashed = _hash(epoch, F.col("mix_identity"))
-        return F.struct(epoch.alias("epoch"), _block(hashed, p["blocks"]).alias("block"), hashed.alias("hash"))
+        hashed = _hash(epoch, F.col("identity"))
+        return F.struct(epoch.alias("epoch"), _block(hashed, F.col("blocks")).alias("block"), hashed.alias("hash"))
 
     def taken(x: Column) -> Column:
-        early = (x["block"] < p["last_block"]) | ((x["block"] == p["last_block"]) & (x["hash"] <= p["last_hash"]))
-        return (x["epoch"] < p["full"]) | F.coalesce(early, F.lit(False))
-
-    copies = F.filter(F.transform(F.sequence(F.lit(0), p["full"]), placed), taken)
-    rows = rows.withColumn("mix_copy", F.explode(copies))
-    return rows.select(
-        *[F.col(f"`{c}`") for c in documents.columns], "mix_weight", F.col("mix_copy.epoch").alias("mix_epoch"),
-        F.col("mix_copy.block").alias("mix_block"), F.col("mix_copy.hash").alias("mix_hash"),
-    )
+        last = F.col("last_block")
+        early = (x["block"] < last) | ((x["block"] == last) & (x["hash"] <= F.col("last_hash")))
+        return (x["epoch"] < F.col("full")) | F.coalesce(early, F.lit(False))
+
+    found = F.filter(F.transform(F.sequence(F.lit(0), F.col("full")), placed), taken)
+    return rows.select("row", "weight", F.explode(found).alias("copy")).select("row", "weight", "copy.*")
+
+
+def mix(documents: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, budget: float | None = None) -> DataFrame:
+    """The rows of ``documents``, each as often as the mix takes it."""
+    return copies(documents, entropy, repeats, budget).select("row.*")
 
 
 def mixed_report(documents: DataFrame) -> DataFrame:
     """``doc_id, source, tokens, weight, epoch, block, hash``: a row for each copy in the mix."""
-    return mix(documents.select("doc_id", "source", "text")).select(
-        "doc_id", "source", tokens("text").alias("tokens"), F.round("mix_weight", 9).alias("weight"),
-        F.col("mix_epoch").alias("epoch"), F.col("mix_block").alias("block"), F.col("mix_hash").alias("hash"),
+    return copies(documents.select("doc_id", "source", "text")).select(
+        "row.doc_id", "row.source", tokens("row.text").alias("tokens"), F.round("weight", 9).alias("weight"),
+        "epoch", "block", "hash",
     )
 
 

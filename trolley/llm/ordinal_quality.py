@@ -124,3 +124,11 @@ def rate(documents: DataFrame, labels: DataFrame, wanted: int = 1) -> DataFrame:
     """Every document: ``doc_id, expected_grade, tail, keep``."""
     scored = score(documents, fit(documents, labels), wanted, ["doc_id"])
     return scored.withColumn("keep", F.col("tail") >= KEEP_TAIL)
+
+
+def keep_good(documents: DataFrame, labels: DataFrame, wanted: int = 1) -> DataFrame:
+    """The rows of ``documents`` that the classifier keeps."""
+    names = [f"kept{i}" for i in range(len(documents.columns))]
+    rows = documents.toDF(*names).withColumn("text", F.col(names[documents.columns.index("text")]))
+    good = score(rows, fit(documents, labels), wanted, names).where(F.col("tail") >= KEEP_TAIL)
+    return good.select(*[F.col(n).alias(c) for n, c in zip(names, documents.columns, strict=True)])

@@ -38,6 +38,7 @@ LEAST_ROWS = 3
 LEAST_RATIO = 26.0
 LEAST_ODDS = 1.5
 BEGINNINGS = (4, 5, 6, 7)
+ANY_HIT = "*"
 
 # Look-alikes outside the Latin letters, and what digits and signs stand for.
 LOOK_ALIKES = str.maketrans(
@@ -183,7 +184,7 @@ def _choose_lexicon(counts, n: int, m: int) -> dict[str, float]:
 
 
 def _phrases(model: ToxicityModel):
-    """Pairs of words with a hit in one of them."""
+    """Pairs of words with a hit in one of them, and a mark for a text with any."""
 
     machine = model.automaton()
 
@@ -196,7 +197,7 @@ def _phrases(model: ToxicityModel):
             word = folded[place + 1 : end]
             out.update(f" {word} {x} " for x in after)
             out.update(f" {x} {word} " for x in before)
-        return out
+        return out | {ANY_HIT} if out else out
 
     return entries
 
@@ -224,12 +225,14 @@ def fit(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     if not lexicon:
         return none
     model = ToxicityModel(lexicon, frozenset(), np.zeros(6), none.base)
-    pairs = _counted(texts, _phrases(model), "pairs").where(f"o >= {LEAST_ROWS} AND t * {m} * 10 < o * {n}")
-    found = pairs.orderBy(F.col("o").desc(), "entry").limit(EXCEPTIONS).toArrow()
-    a, b = found["t"].to_numpy().astype(float), found["o"].to_numpy().astype(float)
-    # Harmless only if it is rarer in toxic rows than chance among rows with a hit would have it.
-    keep = likelihood_ratio(a, b, n, m) >= LEAST_RATIO / 2
-    model.exceptions = frozenset(x for x, k in zip(found["entry"].to_pylist(), keep, strict=True) if k)
+    pairs = _counted(texts, _phrases(model), "pairs")
+    pairs = pairs.where((F.col("entry") == ANY_HIT) | F.expr(f"o >= {LEAST_ROWS} AND t * {m} * 4 < o * {n}"))
+    found = pairs.orderBy(F.col("entry") != ANY_HIT, F.col("o").desc(), "entry").limit(1 + EXCEPTIONS).toArrow()
+    names, a, b = found["entry"].to_pylist(), found["t"].to_numpy().astype(float), found["o"].to_numpy().astype(float)
+    if names[:1] == [ANY_HIT]:
+        # Harmless if it is rarer in toxic rows than chance among the rows with a hit would have it.
+        ratio = likelihood_ratio(a[1:], b[1:], int(a[0]), int(b[0])) if b[0] else np.zeros(len(names) - 1)
+        model.exceptions = frozenset(x for x, r in zip(names[1:], ratio, strict=True) if r >= LEAST_RATIO)
     model.weights = _fit_weights(texts, model, counts, sizes)
     return model
 
