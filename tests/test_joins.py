@@ -24,34 +24,32 @@ def counted(df):
     return sorted((tuple(str(x) for x in r) for r in df.groupBy(*df.columns).count().collect()))
 
 
-def test_hot_keys_are_bounded_and_sliced(spark):
-    found = {r[0]: r[1] for r in joins.hot_keys(facts(spark), ["k"], share=0.05, min_rows=1)}
-    assert set(found) == {7, None}
-    assert found[7] >= 6
-    assert joins.hot_keys(facts(spark), ["k"]) == []
-
-
-def test_sliced_join_equals_plain_join(spark):
-    for how in ("left", "inner"):
-        plain = facts(spark).join(table(spark), "k", how)
-        for small in (0, joins.SMALL_INPUT_BYTES):
-            split = joins.skew_join(
-                facts(spark), table(spark), "k", how, share=0.05, min_rows=1, small_input=small
-            )
-            assert split.columns == plain.columns
-            assert counted(split) == counted(plain)
-
-
-def test_hot_rows_land_on_many_slices(spark):
-    df = joins.skew_join(
-        facts(spark), table(spark), "k", share=0.05, min_rows=1, small_input=0
-    )
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    assert "_slice" in plan
-
-
-def test_identical_copies_are_spread(spark):
-    copies = spark.range(5000).select(F.lit(1).cast("bigint").alias("k"), F.lit("x").alias("v"))
-    one = spark.createDataFrame([(1, 2)], "k bigint, w bigint")
-    out = joins.skew_join(copies, one, "k", share=0.01, min_rows=1, small_input=0)
-    assert out.count() == 5000 and out.where("w = 2").count() == 5000
+def test_joins_match_null_keys_where_asked(spark):
+    nulls = spark.createDataFrame([(None, 5), (7, 6)], "k bigint, w bigint")
+    out = joins.skew_join(facts(spark), nulls, "k", "inner", null_keys=True)
+    assert out.columns == ["k", "v", "w"]
+    assert {r.k: r.w for r in out.distinct().collect()} == {None: 5, 7: 6}
+    assert joins.skew_join(facts(spark), nulls, "k", "inner").where("k IS NULL").count() == 0
+
+
+def test_a_hot_key_is_cut_to_parts(spark):
+    """With thresholds below the test's size the one plan shows the cut partition."""
+    wanted = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    }
+    before = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        out = joins.skew_join(facts(spark).withColumn("x", F.md5(F.rand(1).cast("string"))), table(spark), "k")
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "skew=true" in plan
+    plain = facts(spark).join(table(spark), "k", "left")
+    assert counted(out.drop("x")) == counted(plain) and len(rows) == 9000

@@ -29,7 +29,7 @@ def test_running_totals_equal_a_sorted_walk(spark):
         a += row.a
 
 
-def test_exact_quantiles_by_narrowing(spark):
+def test_exact_quantiles_of_mixed_columns(spark):
     rng = np.random.default_rng(5)
     n = 20000
     columns = {
@@ -43,13 +43,19 @@ def test_exact_quantiles_by_narrowing(spark):
     df = df.withColumn("none", F.lit(None).cast("double"))
     for p in (0.5, 0.013, 1.0):
         expected = {c: float(np.sort(v)[int(np.ceil(n * p)) - 1]) for c, v in columns.items()}
-        for limit in (0, 10):
-            found = exact_quantiles(
-                df, [*columns, "none"], p, small_input=0, sorted_rows=limit
-            )
-            assert found.pop("none") is None
-            assert found == expected
-        assert exact_quantiles(df, list(columns), p) == expected
+        found = exact_quantiles(df, [*columns, "none"], p)
+        assert found.pop("none") is None
+        assert found == expected
+
+
+def test_quantiles_are_elements_of_their_type(spark):
+    import decimal
+
+    big = 1 << 60
+    rows = [(big + v, decimal.Decimal(v) / 100, v, f"s{v}") for v in (1, 3, 5)]
+    df = spark.createDataFrame(rows, "a bigint, b decimal(20,2), c int, d string")
+    assert exact_quantiles(df, ["a", "b", "c", "d"]) == {"a": big + 3, "b": decimal.Decimal("0.03"), "c": 3, "d": "s3"}
+    assert exact_quantiles(df.limit(0), ["a", "c"]) == {"a": None, "c": None}
 
 
 def test_area_under_curve_with_ties(spark):

@@ -40,14 +40,3 @@ def test_flagship(spark):
 
 def test_every_oracle_has_a_query():
     assert set(oracle_sql()) <= set(queries())
-
-
-@pytest.mark.parametrize(
-    "name", ["ranking_interactions", "ranking_features", "purchase_gap_events", "two_tower_dataset"]
-)
-def test_sliced_joins_give_the_same_rows(spark, small, connection, name, monkeypatch):
-    """Every user and item counts as hot: all joins take the sliced path."""
-    from trolley.operators import joins
-
-    monkeypatch.setattr(joins.skew_join, "__defaults__", ("left", None, 0.002, 1, 0))
-    assert differences(queries()[name](spark, small), connection, oracle_sql()[name]) is None

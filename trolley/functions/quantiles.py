@@ -3,126 +3,40 @@
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Sequence
-from dataclasses import dataclass
+from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from trolley.functions.sizes import SMALL_INPUT_BYTES, is_small
+from trolley.functions.ordered import running_totals
 
-# A sketch grid of 1,001 cuts; its rank error (1/accuracy) stays below one grid step.
-GRID = 1000
-ACCURACY = 10_000
-# Brackets holding at most this many rows are put in order; larger ones are narrowed again.
-SORTED_ROWS = 1_000_000
 
-
-@dataclass
-class _Search:
-    """Where the wanted value of one column lies: ``wanted`` is its 1-based rank among non-nulls."""
-
-    column: str
-    low: float | None = None
-    high: float | None = None
-    rows: int = 0
-    wanted: int = 0
-
-    @property
-    def found(self) -> bool:
-        return self.low == self.high
-
-    def inside(self, value: Column) -> Column:
-        if self.low is None:
-            return value
-        return F.when((value >= self.low) & (value <= self.high), value)
-
-    def below(self, value: Column) -> Column:
-        return F.lit(0) if self.low is None else F.count_if(value < self.low)
-
-
-def _narrow(df: DataFrame, open_: list[_Search], p: float, first: bool) -> None:
-    """One pass over the open columns: sketch the values inside each bracket and tighten it."""
-    shares = " ".join(str(g / GRID) for g in range(GRID + 1))
-    grid = F.split(F.lit(shares), " ").cast("array<double>")
-    measured = []
-    for i, search in enumerate(open_):
-        value = F.col(search.column).cast("double")
-        inside = search.inside(value)
-        measured += [
-            F.count(inside).alias(f"n{i}"),
-            search.below(value).alias(f"below{i}"),
-            F.percentile_approx(inside, grid, ACCURACY).alias(f"grid{i}"),
-        ]
-    row = df.agg(*measured).first()
-    for i, search in enumerate(open_):
-        rows, below, cuts = row[f"n{i}"], row[f"below{i}"], row[f"grid{i}"]
-        if first:
-            search.wanted = math.ceil(rows * p)
-        if not rows:
-            continue
-        step = (search.wanted - below) * GRID / rows
-        search.low = cuts[max(math.floor(step) - 1, 0)]
-        search.high = cuts[min(math.ceil(step) + 1, GRID)]
-        search.rows = math.ceil(rows * 4 / GRID)
-
-
-def _pick(df: DataFrame, open_: list[_Search]) -> None:
-    """Count the distinct values left in each bracket and take the one at the wanted rank."""
-    entries = []
-    for i, search in enumerate(open_):
-        value = F.col(search.column).cast("double")
-        # Everything under the bracket becomes one null value that carries its count.
-        entries.append(
-            F.struct(
-                F.lit(i).alias("number"),
-                F.when(value >= search.low, value).alias("value"),
-                (value <= search.high).alias("kept"),
-                F.lit(search.wanted).cast("bigint").alias("wanted"),
-            )
-        )
-    counts = (
-        df.select(F.inline(F.array(*entries)))
-        .where("kept")
-        .groupBy("number", "wanted", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    upto = (
-        Window.partitionBy("number")
-        .orderBy(F.col("value").asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    reached = counts.withColumn("upto", F.sum("n").over(upto)).where(F.col("upto") >= F.col("wanted"))
-    for row in reached.groupBy("number").agg(F.min("value").alias("value")).collect():
-        open_[row["number"]].low = open_[row["number"]].high = row["value"]
-
-
-def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    p: float = 0.5,
-    small_input: int = SMALL_INPUT_BYTES,
-    sorted_rows: int = SORTED_ROWS,
-) -> dict[str, float | None]:
+def exact_quantiles(df: DataFrame, columns: Sequence[str], p: float = 0.5) -> dict[str, Any]:
     """The smallest value of each column whose share of rows at or below it reaches ``p``.
 
-    ``percentile_disc`` keeps every distinct value of a column in one task, which only small
-    inputs allow. For others each pass sketches the values inside a bracket and narrows it to a few grid steps around the wanted
-    rank, until at most ``sorted_rows`` rows are left to be counted per value and put in order.
-    The driver receives one row of sketch cuts per pass. All-null columns give None.
+    Values keep their type. Columns of a type are counted per value in one pass, the counts are
+    range-partitioned in value order with running totals, and the row that reaches the rank
+    is picked: no column is put in order in one task. The driver receives two rows per column.
+    All-null columns give None.
     """
-    if is_small(df, small_input):
-        exact = [F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY `{c}`)").alias(c) for c in columns]
-        return df.agg(*exact).first().asDict()
-    searches = [_Search(c) for c in columns]
-    _narrow(df, searches, p, first=True)
-    while open_ := [s for s in searches if not s.found and s.rows > sorted_rows]:
-        widths = [(s.low, s.high) for s in open_]
-        _narrow(df, open_, p, first=False)
-        if widths == [(s.low, s.high) for s in open_]:
-            # A few heavy values fill the brackets: counting them per value is small work.
-            break
-    if open_ := [s for s in searches if not s.found]:
-        _pick(df, open_)
-    return {s.column: s.low for s in searches}
+    groups: dict[str, list[str]] = defaultdict(list)
+    types = dict(df.dtypes)
+    for column in columns:
+        groups[types[column]].append(column)
+    found: dict[str, Any] = dict.fromkeys(columns)
+    for names in groups.values():
+        entries = [F.struct(F.lit(i).alias("number"), F.col(c).alias("value")) for i, c in enumerate(names)]
+        values = df.select(F.inline(F.array(*entries))).where(F.col("value").isNotNull())
+        counts = values.groupBy(F.struct("number", "value").alias("place")).agg(F.count(F.lit(1)).alias("n"))
+        placed = running_totals(counts, "place", ["n"], "quantiles")
+        sizes = placed.groupBy("place.number").agg(F.sum("n").alias("rows"), F.min("n_before").alias("before"))
+        reached = F.lit(False)
+        for row in sizes.collect():
+            rank = row["before"] + max(1, math.ceil(row["rows"] * p))
+            here = F.col("place.number") == row["number"]
+            reached = reached | (here & (F.col("n_before") < rank) & (F.col("n_before") + F.col("n") >= rank))
+        for row in placed.where(reached).select("place.number", "place.value").collect():
+            found[names[row["number"]]] = row["value"]
+    return found

@@ -54,7 +54,7 @@ def ranking_interactions(
     items = item_stats.join(articles, cols.item, "full" if as_of is not None else "left")
     facts = timed if as_of is None else timed.where(F.col(cols.time) >= F.lit(as_of))
     wide = skew_join(facts, users, cols.user)
-    wide = skew_join(wide, items, cols.item, counted=facts)
+    wide = skew_join(wide, items, cols.item)
     featured = temporal_features(wide, cols).withColumns(
         {
             "price_affinity": F.abs(F.col("user_avg_price") - F.col(cols.price)),
@@ -110,7 +110,7 @@ def two_tower_interactions(
     items = popularity.join(articles, cols.item, "full" if as_of is not None else "left")
     facts = transactions if as_of is None else transactions.where(F.col(cols.time) >= F.lit(as_of))
     wide = skew_join(facts, users, cols.user)
-    wide = skew_join(wide, items, cols.item, counted=facts)
+    wide = skew_join(wide, items, cols.item)
     return temporal_features(wide, cols).select(
         *transactions.columns,
         *[c for c in customers.columns if c != cols.user],

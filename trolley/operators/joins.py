@@ -3,87 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from trolley.columns import DEFAULT, Columns
-from trolley.functions.sizes import SMALL_INPUT_BYTES, is_small
-
-# A key above this share of the rows is split; at most 1 / HOT_SHARE keys can exceed it.
-HOT_SHARE = 1e-4
-# A key with fewer rows than this is never split.
-HOT_ROWS = 1_000_000
-
-
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS
-) -> list[tuple]:
-    """``(*key, slices)`` of the keys holding more than ``share`` of the rows, null keys included.
-
-    ``slices`` is the number of parts to cut a key into. Counts are combined before the shuffle
-    and filtered before they leave the executors; at most ``1 / share`` keys can pass.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    limit = F.greatest(total * F.lit(share), F.lit(float(min_rows)))
-    hot = counts.withColumn("_limit", limit).where(F.col("_rows") > F.col("_limit"))
-    slices = F.ceil(F.col("_rows") / F.col("_limit")).cast("int")
-    return [tuple(row) for row in hot.select(*keys, slices.alias("_slices")).collect()]
 
 
 def skew_join(
-    facts: DataFrame,
-    table: DataFrame,
-    on: str | Sequence[str],
-    how: str = "left",
-    counted: DataFrame | None = None,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
-    small_input: int = SMALL_INPUT_BYTES,
+    facts: DataFrame, table: DataFrame, on: str | Sequence[str], how: str = "left", null_keys: bool = False
 ) -> DataFrame:
     """Join ``facts`` to a keyed ``table`` (one row per key); ``how`` is left or inner.
 
-    Rows of a hot key are spread over several slices and its one table row is repeated per
-    slice; rows with a hot null key are spread as well. The hot keys are found when this is
-    called, in one pass over the key columns of ``counted``: give the stored log there when
-    ``facts`` is a join on top of it with the same keys per row. Small inputs and logs without a
-    hot key get the plain join, where Spark broadcasts a table whose measured size allows it.
+    One plan for every size: Spark broadcasts the table if its measured size allows it, else it
+    cuts the shuffled partition of a hot key (null keys of a left join too) to parts of the
+    advisory size and joins each with the key's row. That needs adaptive execution with
+    its skew join, which are on by default. ``null_keys`` lets null keys match null keys.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if is_small(facts, small_input):
-        return facts.join(table, keys, how)
-    found = hot_keys(facts if counted is None else counted, keys, share, min_rows)
-    if not found:
+    if not null_keys:
         return facts.join(table, keys, how)
-
-    schema = T.StructType(
-        [facts.schema[k] for k in keys] + [T.StructField("_slices", T.IntegerType())]
-    )
-    known = [row for row in found if None not in row[:-1]]
-    hot = facts.sparkSession.createDataFrame(known, schema)
-    empty = max((row[-1] for row in found if None in row[:-1]), default=1)
-    no_key = F.lit(False)
-    for key in keys:
-        no_key = no_key | F.col(key).isNull()
-    slices = F.when(no_key, F.lit(empty)).otherwise(F.coalesce("_slices", F.lit(1)))
-    # Copies of one row share a hash, so the partition number takes part in the spreading. Both
-    # are the same again when a lost task is repeated.
-    spread = F.xxhash64(*facts.columns) + F.spark_partition_id()
-    left = (
-        facts.join(F.broadcast(hot), keys, "left")
-        .withColumn("_slice", F.pmod(spread, slices).cast("int"))
-        .select(*facts.columns, "_slice")
-    )
-    right = (
-        table.join(F.broadcast(hot), keys, "left")
-        .withColumn(
-            "_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1))
-        )
-        .select(*table.columns, "_slice")
-    )
-    return left.join(right, [*keys, "_slice"], how).drop("_slice")
+    right = table.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = reduce(lambda x, y: x & y, [facts[k].eqNullSafe(right[f"_{k}"]) for k in keys])
+    return facts.join(right, same, how).drop(*[f"_{k}" for k in keys])
 
 
 def star_join(
@@ -91,7 +34,7 @@ def star_join(
 ) -> DataFrame:
     """Every transaction with its customer and article attributes."""
     named = skew_join(transactions, customers, cols.user)
-    return skew_join(named, articles, cols.item, counted=transactions)
+    return skew_join(named, articles, cols.item)
 
 
 def duplicate_columns(df: DataFrame) -> list[str]:

@@ -29,7 +29,7 @@ def ranking_features(
         "embedding_available",
     )
     joined = skew_join(facts, user_side, cols.user, "inner")
-    joined = skew_join(joined, item_side, cols.item, "inner", counted=facts)
+    joined = skew_join(joined, item_side, cols.item, "inner")
     relative_price = F.when(
         F.col("avg_spend") > 0, F.col("avg_item_price") / F.col("avg_spend")
     ).otherwise(F.lit(0.0))
