@@ -1,6 +1,9 @@
 import datetime as dt
 import random
 
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
 from trolley.operators import favorites, users
 
 LOG = (
@@ -10,7 +13,7 @@ LOG = (
 
 
 def event(user, item, time, category=None, price=1.0):
-    return (user, item, dt.datetime.fromisoformat(time), price, category, "red", 1)
+    return (user, item, dt.datetime.fromisoformat(time) if time else None, price, category, "red", 1)
 
 
 def test_ties_go_to_the_lower_value_and_null_loses_ties(spark):
@@ -61,6 +64,16 @@ def test_gap_events_equal_a_sorted_walk(spark):
         assert len(found) == len(rows)
 
 
+def test_gap_events_of_nulls_and_copies_equal_lag(spark):
+    rows = [event(u, i, t) for u, i, t in [("u", None, "2020-01-01"), ("u", "1", "2020-01-01"), ("u", "1", "2020-01-03"), ("u", "1", "2020-01-03"), (None, "2", "2020-01-02"), (None, "2", "2020-01-05"), (None, None, "2020-01-05"), ("v", "3", None), ("v", "3", "2020-02-01")]]
+    df = spark.createDataFrame(rows, LOG).repartition(3)
+    user, item, time = df.columns[0], df.columns[1], users.DEFAULT.time
+    order = Window.partitionBy(user).orderBy(time, item)
+    want = df.select(user, item, time, F.lag(time).over(order).alias("p")).collect()
+    found = users.purchase_gap_events(df).drop("gap_days").collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, map(tuple, want)))
+
+
 def test_recency_counts_back_from_the_latest_purchase(spark):
     rows = [event("u", "1", "2020-01-01"), event("u", "2", "2020-01-11")]
     out = users.purchase_recency(spark.createDataFrame(rows, LOG))

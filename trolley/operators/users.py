@@ -29,35 +29,33 @@ def purchase_gap(df: DataFrame, cols: Columns = DEFAULT) -> DataFrame:
 def purchase_gap_events(df: DataFrame, cols: Columns = DEFAULT, slice_unit: str = "day") -> DataFrame:
     """Each event with the user's previous event time and the gap in calendar days.
 
-    Events are ordered by time, then item; (user, time, item) is unique. A user's history is
-    never sorted in one task: equal times are collapsed first, ``lag`` runs inside calendar
-    slices of the history, and only the last time of each slice is carried to the next one.
+    Events are ordered by time, then item (null first); null users are one user, repeated events
+    follow each other. A user's history is never sorted in one task: equal events are counted,
+    equal times collapsed, ``lag`` runs inside calendar slices of the history, and only the
+    last time of each slice is carried to the next one.
     """
+    # A repeated event keeps one row with its number, so the first of a time is one row as well.
+    events = df.groupBy(cols.user, cols.item, cols.time).agg(F.count(F.lit(1)).alias("_events"))
     times = (
-        df.groupBy(cols.user, cols.time)
-        .agg(F.min(cols.item).alias("_first_item"))
+        events.groupBy(cols.user, cols.time)
+        .agg(F.min(F.struct(F.col(cols.item).alias("item"))).alias("_first"))
         .withColumn("_slice", F.date_trunc(slice_unit, cols.time))
     )
     slices = times.groupBy(cols.user, "_slice").agg(F.max(cols.time).alias("_last"))
     by_slice = Window.partitionBy(cols.user).orderBy("_slice")
     carried = slices.select(cols.user, "_slice", F.lag("_last").over(by_slice).alias("_carried"))
     inside = Window.partitionBy(cols.user, "_slice").orderBy(cols.time)
-    previous = (
-        times.withColumn("_inside", F.lag(cols.time).over(inside))
-        .join(carried, [cols.user, "_slice"])
-        .select(
-            cols.user,
-            cols.time,
-            "_first_item",
-            F.coalesce("_inside", "_carried").alias("_previous"),
-        )
+    lagged = times.withColumn("_inside", F.lag(cols.time).over(inside))
+    previous = skew_join(lagged, carried, [cols.user, "_slice"], "inner", null_keys=True).select(
+        cols.user, cols.time, "_first", F.coalesce("_inside", "_carried").alias("_previous")
     )
-    events = skew_join(df.select(cols.user, cols.item, cols.time), previous, [cols.user, cols.time])
-    before = F.when(F.col(cols.item) == F.col("_first_item"), F.col("_previous")).otherwise(
-        F.col(cols.time)
-    )
-    return events.select(cols.user, cols.item, cols.time, before.alias("previous_purchase")).withColumn(
-        "gap_days", F.datediff(cols.time, "previous_purchase")
+    joined = skew_join(events, previous, [cols.user, cols.time], "inner", null_keys=True)
+    leads = F.col(cols.item).eqNullSafe(F.col("_first.item")) & (F.col("_copy") == 0)
+    before = F.when(leads, F.col("_previous")).otherwise(F.col(cols.time))
+    return (
+        joined.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_events") - 1)).alias("_copy"))
+        .select(cols.user, cols.item, cols.time, before.alias("previous_purchase"))
+        .withColumn("gap_days", F.datediff(cols.time, "previous_purchase"))
     )
 
 
