@@ -34,31 +34,46 @@ def embed_images(
 ) -> DataFrame:
     """Add ``raw_vector`` to ``(archive, member, content)`` rows; null where embedding failed.
 
-    ``make_embedder`` runs once per task, so a model is loaded once. A batch that raises is
-    reported as failed as a whole and the job goes on.
+    ``make_embedder`` runs once per task, so a model is loaded once. When a batch raises or
+    returns another number of vectors, its images are embedded one by one, so only those that fail
+    are lost; ``error`` has their reason.
     """
 
+    def vectors_of(embed: Embedder, contents: list[bytes]) -> list[np.ndarray | None]:
+        found = list(embed(contents))
+        if len(found) != len(contents):
+            raise ValueError(f"{len(found)} vectors for {len(contents)} images")
+        return [None if v is None else np.asarray(v, dtype=np.float64) for v in found]
+
+    def each(embed: Embedder, contents: list[bytes]) -> Iterator[tuple[np.ndarray | None, str | None]]:
+        for content in contents:
+            try:
+                vector = vectors_of(embed, [content])[0]
+                yield vector, None if vector is not None else "no vector"
+            except Exception as problem:
+                yield None, f"{type(problem).__name__}: {problem}"
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         embed = make_embedder()
         for frame in frames:
             for start in range(0, len(frame), batch):
                 part = frame.iloc[start : start + batch]
+                contents = part["content"].tolist()
                 try:
-                    vectors = list(embed(part["content"].tolist()))
+                    made = [(v, None if v is not None else "no vector") for v in vectors_of(embed, contents)]
                 except Exception:
-                    vectors = [None] * len(part)
+                    made = list(each(embed, contents))
                 yield pd.DataFrame(
                     {
                         "archive": part["archive"].to_numpy(),
                         "member": part["member"].to_numpy(),
-                        "raw_vector": [
-                            None if v is None else np.asarray(v, dtype=np.float64) for v in vectors
-                        ],
+                        "raw_vector": [vector for vector, _ in made],
+                        "error": [error for _, error in made],
                     }
                 )
 
     source = images.select("archive", "member", "content")
-    return source.mapInPandas(run, "archive string, member string, raw_vector array<double>")
+    return source.mapInPandas(run, "archive string, member string, raw_vector array<double>, error string")
 
 
 def embedding_table(embedded: DataFrame, stamp=None, cols: Columns = DEFAULT) -> DataFrame:

@@ -97,9 +97,14 @@ def _read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def read_members(members: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Contents of listed members: archive, file name, bytes."""
-    keys = ["path", "member"]
-    spread = members.repartition(partitions, *keys) if partitions else members.repartition(*keys)
+    """Contents of listed members: archive, file name, bytes.
+
+    The number of partitions is fixed (that of shuffles, if none is given): the listing is tiny
+    against what it stands for, so adaptive execution would put it into one task.
+    """
+    if partitions is None:
+        partitions = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = members.repartition(partitions, "path", "member")
     return spread.sortWithinPartitions("path").mapInPandas(
         _read, "archive string, member string, content binary"
     )
