@@ -25,13 +25,6 @@ def vector_text(column: str) -> str:
     )
 
 
-def vector_sum(column: str) -> str:
-    return (
-        f"CAST(list_sum(list_transform({column}, lambda x: "
-        "CAST(round(CAST(x AS DOUBLE) * 1000000) AS BIGINT))) AS BIGINT)"
-    )
-
-
 def portable_hash(*columns: str) -> str:
     return f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(columns)})), 1, 15) AS BIGINT)"
 
@@ -273,7 +266,7 @@ WHERE NOT EXISTS (SELECT 1 FROM tx WHERE tx.customer_id = d.customer_id AND tx.a
 
 PARTS["ranking_rows"] = f"""
 SELECT s.*, purchase_count, avg_spend, item_purchase_count, unique_buyers, avg_item_price,
-       {vector_sum('image_embedding')} AS vector_sum,
+       {vector_text('image_embedding')} AS image_embedding,
        {portable_hash('customer_id', 'article_id', 'label', '42')} AS shuffle_key
 FROM (SELECT customer_id, article_id, 1 AS label FROM tx
       UNION ALL SELECT * FROM negatives) s
@@ -456,6 +449,11 @@ ORACLES: dict[str, str] = {
                count(*) - count(image_embedding) AS null_count,
                avg(len(image_embedding)) AS avg_dimension FROM item_feat""",
     "embedding_coverage": "SELECT avg(embedding_available) AS coverage_ratio FROM item_feat",
+    "fit_wide_ranker": """
+        SELECT count(*) FILTER (price > mean) AS positives, count(*) FILTER (price <= mean) AS negatives,
+               TRUE AS better_than_chance
+        FROM (SELECT price, t_dat, avg(price) OVER (PARTITION BY customer_id) AS mean FROM tx)
+        WHERE (year(t_dat) * 12 + month(t_dat)) % 5 = 0""",
     "feature_statistics": f"""
         SELECT 'customer_features' AS dataset, * FROM (
         SELECT 'table' AS kind, 'customer_features' AS feature, 'row_count' AS stat,
@@ -529,7 +527,7 @@ ORACLES: dict[str, str] = {
         SELECT label, count(*) AS rows, count(*) / sum(count(*)) OVER () AS share
         FROM ranking_rows GROUP BY label""",
     "two_tower_dataset": f"""
-        SELECT tx.*, article_idx, customer_idx, {vector_sum('image_embedding')} AS vector_sum
+        SELECT tx.*, article_idx, customer_idx, {vector_text('image_embedding')} AS image_embedding
         FROM tx JOIN item_idx USING (article_id) JOIN emb USING (article_id)
         JOIN user_idx USING (customer_id)""",
     "retrieval_dataset": f"""
@@ -539,7 +537,7 @@ ORACLES: dict[str, str] = {
                {vector_text('[CAST(item_purchase_count AS FLOAT), CAST(unique_buyers AS FLOAT), CAST(avg_item_price AS FLOAT)]')}
                  AS item_numeric,
                {vector_text('[' + ', '.join(ITEM_CODES) + ']')} AS item_categorical,
-               {vector_sum('image_embedding')} AS vector_sum
+               {vector_text('image_embedding')} AS image_embedding
         FROM wide_two_tower JOIN emb USING (article_id)""",
     "standard_scale": """
         WITH summary AS (SELECT customer_id, count(*) AS purchase_count, avg(price) AS avg_spend,

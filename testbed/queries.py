@@ -70,15 +70,6 @@ def vector_text(column: str | Column) -> Column:
     return F.array_join(millionths, ",")
 
 
-def vector_sum(column: str) -> Column:
-    """The sum of a vector's millionths."""
-    return F.aggregate(
-        F.col(column).cast("array<double>"),
-        F.lit(0).cast("bigint"),
-        lambda total, x: total + F.round(x * 1_000_000).cast("bigint"),
-    )
-
-
 # --- sources and sinks ---------------------------------------------------------------------
 
 
@@ -468,7 +459,7 @@ def _ranking_rows(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def ranking_dataset(spark: SparkSession, folder: str) -> DataFrame:
     rows = _ranking_rows(spark, folder)
-    return rows.withColumn("vector_sum", vector_sum("image_embedding")).drop("image_embedding")
+    return rows.withColumn("image_embedding", vector_text("image_embedding"))
 
 
 @query
@@ -482,7 +473,7 @@ def two_tower_dataset(spark: SparkSession, folder: str) -> DataFrame:
     prepared = training.two_tower_dataset(
         log, encoding.user_index(log), encoding.item_index(log), t.raw_embeddings(spark, folder)
     )
-    return prepared.withColumn("vector_sum", vector_sum("image_embedding")).drop("image_embedding")
+    return prepared.withColumn("image_embedding", vector_text("image_embedding"))
 
 
 @query
@@ -497,7 +488,7 @@ def retrieval_dataset(spark: SparkSession, folder: str) -> DataFrame:
         "user_color",
         vector_text("item_numeric").alias("item_numeric"),
         vector_text("item_categorical").alias("item_categorical"),
-        vector_sum("image_embedding").alias("vector_sum"),
+        vector_text("image_embedding").alias("image_embedding"),
     )
 
 
@@ -694,14 +685,19 @@ def fit_ranker(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def fit_wide_ranker(spark: SparkSession, folder: str) -> DataFrame:
-    """Boosted trees on the wide ranking rows: a dear purchase is one above the user's mean."""
+    """Boosted trees on the wide ranking rows: a dear purchase is one above the user's mean.
+
+    Every fifth month is held out; its rows are scored by a model that has not seen them.
+    """
     wide = ranking_interactions(spark, folder).withColumn(
         "label", (F.col("price") > F.col("user_avg_price")).cast("int")
     )
     numerics = [c for c in RANKING_NUMERICS if c not in ("price_affinity", "popularity_price_score")]
-    wide = materialize(wide.select(*numerics, "label"), "wide-ranker-rows")
-    model = models.fit_ranker(wide, numerics, trees=True)
-    return metrics.binary_metrics(models.score_rows(model, wide, numerics))
+    wide = materialize(wide.select(*numerics, "year", "label"), "wide-ranker-rows")
+    held = (F.col("year") * 12 + F.col("month")) % 5 == 0
+    model = models.fit_ranker(wide.where(~held), numerics, trees=True)
+    found = metrics.binary_metrics(models.score_rows(model, wide.where(held), numerics))
+    return found.select("positives", "negatives", (F.col("auc") > 0.6).alias("better_than_chance"))
 
 
 @query
