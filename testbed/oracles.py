@@ -449,9 +449,16 @@ ORACLES: dict[str, str] = {
                count(*) - count(image_embedding) AS null_count,
                avg(len(image_embedding)) AS avg_dimension FROM item_feat""",
     "embedding_coverage": "SELECT avg(embedding_available) AS coverage_ratio FROM item_feat",
+    "fit_ranker": f"""
+        SELECT count(*) FILTER (label = 1) AS positives, count(*) FILTER (label = 0) AS negatives,
+               CAST(1 AS INTEGER) AS better_than_chance
+        FROM ranking_rows WHERE {portable_hash('shuffle_key', '42')} % 100 < 20""",
+    "fit_retrieval": """
+        SELECT count(DISTINCT customer_id) AS customers, CAST(10 AS BIGINT) AS fewest, CAST(10 AS BIGINT) AS most,
+               CAST(1 AS INTEGER) AS better_than_popular FROM tx""",
     "fit_wide_ranker": """
         SELECT count(*) FILTER (price > mean) AS positives, count(*) FILTER (price <= mean) AS negatives,
-               TRUE AS better_than_chance
+               CAST(1 AS INTEGER) AS better_than_chance
         FROM (SELECT price, t_dat, avg(price) OVER (PARTITION BY customer_id) AS mean FROM tx)
         WHERE (year(t_dat) * 12 + month(t_dat)) % 5 = 0""",
     "feature_statistics": f"""
