@@ -51,3 +51,27 @@ def test_job_skips_broken_images_and_batches(spark, tmp_path):
     lost = images.embed_images(read_members(list_members(spark, str(tmp_path))), failing)
     report = {r.archive: (r.embedded, r.failed) for r in images.embedding_report(lost).collect()}
     assert report == {"one.zip": (0, 2), "two.zip": (0, 50)}
+
+
+def test_one_failing_image_costs_one_image(spark):
+    frame = spark.createDataFrame([("a.zip", f"{i}.jpg", bytes([i])) for i in range(40)], "archive string, member string, content binary").coalesce(1)
+
+    def picky():
+        def embed(batch):
+            if any(content == bytes([7]) for content in batch):
+                raise ValueError("broken")
+            return [[1.0, 2.0]] * (len(batch) - (len(batch) == 16 and batch[0] == bytes([16])))
+
+        return embed
+
+    rows = images.embed_images(frame, picky, batch=16).collect()
+    lost = [(r.member, r.error) for r in rows if r.raw_vector is None]
+    assert lost == [("7.jpg", "ValueError: broken")] and len(rows) == 40
+
+
+def test_one_archive_is_read_by_several_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    pack(tmp_path)
+    read = read_members(list_members(spark, str(tmp_path))).where("archive = 'two.zip'")
+    assert read.select(F.spark_partition_id().alias("p")).distinct().count() > 2
