@@ -345,6 +345,8 @@ def _grouped(documents: DataFrame) -> DataFrame:
     classes = stored(classes, "classes")
     paths = classes.select("class", F.explode("buckets").alias("bucket"))
     shared = paths.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    # A table, so that both sides are shuffled for the join and Spark can split a hot bucket's rows.
+    shared = stored(shared, "shared")
     met = paths.join(shared.hint("merge"), "bucket").join(classes.select("class", "signature"), "class")
     _, pairs = _blocks_of(F.col("size"), F.col("class"))
     dealt = met.select("bucket", F.explode(pairs).alias("pair"), "class", "signature")

@@ -220,7 +220,9 @@ def _marked(entries: DataFrame, name: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min("context").alias("low"), F.max("context").alias("high")
     )
     repeated = buckets.where("n > 1").select("key", (F.col("low") != F.col("high")).alias("open"))
-    # Not broadcast: repeated buckets grow with the corpus. Spark splits the partitions of hot ones.
+    # A table, so that both sides are shuffled for the join: only then does Spark split the partition
+    # of a hot bucket. Not broadcast: repeated buckets grow with the corpus.
+    repeated = stored(repeated, f"{name}-buckets")
     marked = entries.join(repeated.hint("merge"), "key")
     kept = [F.when(F.col("open"), F.col(c)).alias(c) for c in ("key", "context")]
     return stored(marked.select(*kept, *OWN), name)
