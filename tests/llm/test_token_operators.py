@@ -69,6 +69,9 @@ def test_round_trip_of_odd_rows(spark, library):
         want.append((doc, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()))
     assert sorted(map(tuple, out), key=str) == sorted(want, key=str)
     assert bpe.round_trip_digest(clashing(spark, []), MULTI).count() == 0
+    apart = bpe.decode(bpe.encode(clashing(spark, ROWS), MULTI), MULTI).select("doc_id", "ids", "decoded")
+    together = bpe.round_trip(clashing(spark, ROWS), MULTI).select("doc_id", "ids", "decoded")
+    assert sorted(map(str, apart.collect())) == sorted(map(str, together.collect()))
 
 
 @pytest.mark.parametrize("bits", [False, True])

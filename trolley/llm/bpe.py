@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from trolley.llm.common import text_slices, worker_cache
 
 #: Entries of a worker's cache of merged slices; beyond it, slices are merged again.
-CACHED_SLICES = 300_000
+CACHED_SLICES = 200_000
 #: Longer slices are merged with a heap and not cached.
 LONG_SLICE = 64
 #: A pair (byte, token) of offsets is kept for every so many slices.
@@ -216,14 +216,10 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in lines}
 
 
-def _scanner() -> Scanner:
-    return worker_cache("bpe-scanner", Scanner)
-
-
 class Encoder:
     def __init__(self, path: str) -> None:
         self.ranks = read_ranks(path)
-        self.scanner = _scanner()
+        self.scanner = Scanner()
         self.cache: dict[bytes, bytes] = {}
 
     def __call__(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
@@ -316,9 +312,28 @@ def decode(df: DataFrame, ranks: str, key: str = "doc_id") -> DataFrame:
     return made.withColumnRenamed("key", key)
 
 
+def round_trip(df: DataFrame, ranks: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``encode`` and ``decode`` in one worker: ``key, ids, offsets, decoded``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = worker_cache(f"bpe-encode {ranks}", lambda: Encoder(ranks))
+        decoder = worker_cache(f"bpe-decode {ranks}", lambda: Decoder(ranks))
+        for batch in batches:
+            for rows, texts in text_slices(batch):
+                ids, offsets = zip(*encoder(texts), strict=True)
+                decoded = [decoder(i, o) for i, o in zip(ids, offsets, strict=True)]
+                columns = [pa.array(c, pa.binary()) for c in (ids, offsets, decoded)]
+                yield pa.RecordBatch.from_arrays([rows.column(0), *columns], ["key", "ids", "offsets", "decoded"])
+
+    kind = df.schema[key].dataType.simpleString()
+    source = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    made = source.mapInArrow(run, f"key {kind}, ids binary, offsets binary, decoded binary")
+    return made.withColumnRenamed("key", key)
+
+
 def round_trip_digest(df: DataFrame, ranks: str) -> DataFrame:
     """Per row: ``doc_id, n_tokens, ids_sha256, decoded_sha256``."""
-    return decode(encode(df, ranks), ranks).select(
+    return round_trip(df, ranks).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

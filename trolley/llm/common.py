@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,8 @@ from trolley.functions.scratch import materialize
 
 #: Texts of at most so many bytes are turned into numpy arrays together; a longer text goes alone.
 SLICE_BYTES = 2_000_000
+#: Values (tables, tokenizers) a Python worker keeps.
+CACHED_VALUES = 2
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,8 +29,11 @@ def worker_cache(key: str, make: Callable[[], Any]) -> Any:
 
     Functions sent by value get new globals in each task, so module globals would be rebuilt.
     """
-    kept = sys.modules.setdefault("_trolley_worker", types.ModuleType("_trolley_worker")).__dict__
+    module = sys.modules.setdefault("_trolley_worker", types.ModuleType("_trolley_worker"))
+    kept = module.__dict__.setdefault("kept", {})
     if key not in kept:
+        while len(kept) >= CACHED_VALUES:  # an earlier stage's tables make room
+            del kept[next(iter(kept))]
         kept[key] = make()
     return kept[key]
 
@@ -36,15 +42,21 @@ def text_slices(
     batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Cut a batch to runs of rows of bounded text size; null texts become empty ones."""
-    texts = [t or "" for t in batch.column(batch.schema.get_field_index(column)).to_pylist()]
-    start = size = 0
-    for i, text in enumerate(texts):
-        if i > start and size + len(text) > most:
-            yield batch.slice(start, i - start), texts[start:i]
-            start, size = i, 0
-        size += len(text)
-    if start < len(texts):
-        yield batch.slice(start), texts[start:]
+    place = batch.schema.get_field_index(column)
+    sizes = pc.fill_null(pc.binary_length(batch.column(place)), 0).to_pylist()
+
+    def part(start: int, stop: int) -> tuple[pa.RecordBatch, list[str]]:
+        rows = batch.slice(start, stop - start)
+        return rows, [t or "" for t in rows.column(place).to_pylist()]
+
+    start = held = 0
+    for i, size in enumerate(sizes):
+        if i > start and held + size > most:
+            yield part(start, i)
+            start, held = i, 0
+        held += size
+    if start < len(sizes):
+        yield part(start, len(sizes))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

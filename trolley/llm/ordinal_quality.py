@@ -127,8 +127,19 @@ def rate(documents: DataFrame, labels: DataFrame, wanted: int = 1) -> DataFrame:
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, wanted: int = 1) -> DataFrame:
-    """The rows of ``documents`` that the classifier keeps."""
-    names = [f"kept{i}" for i in range(len(documents.columns))]
-    rows = documents.toDF(*names).withColumn("text", F.col(names[documents.columns.index("text")]))
-    good = score(rows, fit(documents, labels), wanted, names).where(F.col("tail") >= KEEP_TAIL)
-    return good.select(*[F.col(n).alias(c) for n, c in zip(names, documents.columns, strict=True)])
+    """The rows of ``documents`` that the classifier keeps. Rows go to Python and back once."""
+    model = fit(documents, labels)
+    if model is None:
+        return documents
+    columns = documents.columns
+    names = [f"kept{i}" for i in range(len(columns))]
+    text = names[columns.index("text")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, texts in text_slices(batch, text):
+                _, tail = model.predict(texts, wanted)
+                yield rows.filter(pa.array(tail >= KEEP_TAIL))
+
+    rows = documents.toDF(*names)
+    return rows.mapInArrow(run, rows.schema).toDF(*columns)
