@@ -123,10 +123,8 @@ def _first_of_next(rows: DataFrame) -> DataFrame:
     """
     ids = rows.groupBy("range").agg(F.min("place").alias("place"))
     numbers = dense_index(ids.select("range"), "range", "number")
-    count = numbers.agg(F.count(F.lit(1)).alias("ranges"))  # one row
-    before = numbers.crossJoin(F.broadcast(count)).select(
-        F.col("range").alias("to_range"), F.pmod(F.col("number") - 1, F.col("ranges")).alias("number")
-    )
+    count = numbers.agg(F.count(F.lit(1)).alias("ranges")).scalar()
+    before = numbers.select(F.col("range").alias("to_range"), F.pmod(F.col("number") - 1, count).alias("number"))
     steps = before.join(numbers, "number").select("range", "to_range")
     first = rows.join(ids.select("place"), "place").withColumn("whole", _sketch(F.col("text")))
     first = first.groupBy("range").agg(F.min(F.struct("text", "whole")).alias("first"))
