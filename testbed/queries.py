@@ -714,7 +714,7 @@ def fit_retrieval(spark: SparkSession, folder: str) -> DataFrame:
     )
     pairs = log.select("customer_id", "article_id").distinct()
     popular = pairs.groupBy("article_id").count().orderBy(F.desc("count"), "article_id").limit(10)
-    by_popularity = pairs.join(popular, "article_id").agg(F.count(F.lit(1)).alias("popular_hits"))
+    by_popularity = pairs.join(popular, "article_id").agg(F.count(F.lit(1)).alias("n")).scalar()
     bought = pairs.withColumn("bought", F.lit(1))
     rows = lists.join(bought, ["customer_id", "article_id"], "left").groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("n"), F.count("bought").alias("hits")
@@ -725,8 +725,8 @@ def fit_retrieval(spark: SparkSession, folder: str) -> DataFrame:
         F.max("n").alias("most"),
         F.sum("hits").alias("hits"),
     )
-    better = (F.col("hits") > 1.5 * F.col("popular_hits")).cast("int")
-    return found.crossJoin(by_popularity).select("customers", "fewest", "most", better.alias("better_than_popular"))
+    better = (F.col("hits") > 1.5 * by_popularity).cast("int")
+    return found.select("customers", "fewest", "most", better.alias("better_than_popular"))
 
 
 # --- images --------------------------------------------------------------------------------
