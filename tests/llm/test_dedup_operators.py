@@ -45,6 +45,22 @@ def test_stage_keeps_columns_and_whole_code_points(spark):
     assert all(r["text"] == f"{r['doc_id']} only here" and r["n_chars"] == len(r["text"]) for r in out.collect())
 
 
+def test_repeats_of_texts_with_one_32_bit_hash(spark):
+    """Texts that share an id, or have none, are not taken for each other where 32-bit hashes meet."""
+    import hashlib
+
+    body = lambda name: "".join(hashlib.sha256(f"{name}{k}".encode()).hexdigest() for k in range(6))
+    long, short = body("p"), body("q")[:300]
+    rows = [(None, long + "10210"), (None, short + "564011"), (None, long + "2307"), (-1, short + "111279")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    met = [r[0] for r in df.select(F.hash("doc_id", "text")).collect()]
+    assert met[0] == met[1] and met[2] == met[3]
+    for pair in (rows[:2], rows[2:]):
+        given = [*pair, (7, long)]
+        out = suffix_dedup.removal_digest(spark.createDataFrame(given, "doc_id long, text string")).collect()
+        assert sorted(map(tuple, out), key=str) == sorted(brute.removed(given), key=str)
+
+
 def near_rows():
     random.seed(5)
     base = [" ".join(random.choice("abcdefghijklmnop") * random.randrange(1, 4) for _ in range(60)) for _ in range(4)]

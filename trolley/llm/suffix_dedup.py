@@ -42,7 +42,7 @@ CHUNK = 1 << 20
 POSITION = np.uint64((1 << 21) - 1)
 #: Texts are shuffled once, compressed at this level.
 LEVEL = 1
-ENTRY = "key bigint, context bigint, row_id bigint, row_hash int, at int, near int, far int"
+ENTRY = "key bigint, context bigint, row_id bigint, row_hash bigint, at int, near int, far int"
 
 
 class Roller:
@@ -282,11 +282,11 @@ def remove_repeats(documents: DataFrame, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of ``documents`` (``kept0``, ``kept1``, ...), ``n_bytes, n_removed, n_spans,
     kept_bytes``, and ``kept_text``, which is without the code points that a cut has broken."""
     kept = [F.col(f"`{c}`").alias(f"kept{i}") for i, c in enumerate(keep)]
-    # Rows by id and text: rows equal in both have the same spans.
-    rows = documents.select(
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1)).alias("row_id"), F.hash("doc_id", "text").alias("row_hash"), "text", *kept
-    )
-    own = "row_id bigint, row_hash int, "
+    # Rows by id and text: rows equal in both have the same spans. One id, or none, may have very many
+    # texts, so the hash alone tells them apart: 64 bits, and null ids differ from -1 in it.
+    row_hash = F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text").alias("row_hash")
+    rows = documents.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1)).alias("row_id"), row_hash, "text", *kept)
+    own = "row_id bigint, row_hash bigint, "
     more = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[3:])
     bodies = rows.mapInArrow(_pack, f"{own}body binary{more}")
     entries = rows.select("row_id", "row_hash", "text").mapInArrow(_scan, ENTRY)
