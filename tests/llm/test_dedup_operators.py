@@ -94,6 +94,19 @@ def test_null_ids_are_rows(spark):
     assert out == sorted([(None, None, None, 2, 1), (4, None, None, 2, 1), (None, None, None, 1, 0)], key=str)
 
 
+def pair_of(seed):
+    """Two texts of 18 shingles with a similarity of exactly 0.8."""
+    words = [f"{seed}w{i}" for i in range(22)]
+    return " ".join(words), " ".join([*words[:-2], "x", words[-1]])
+
+
+def test_pairs_far_below_their_estimate_are_linked(spark):
+    """The signatures of these pairs are equal in 81 to 86 of 128 places."""
+    rows = [(2 * i + k, text) for i, seed in enumerate((1075, 4422, 4539, 4795)) for k, text in enumerate(pair_of(seed))]
+    out = lsh_forest.near_duplicates(clashing(spark, rows)).collect()
+    assert sorted(map(tuple, out)) == sorted(brute.near_groups(rows)) and all(r["n_links"] == 1 for r in out)
+
+
 def test_one_of_each_group_stays(spark):
     rows = near_rows()
     df = clashing(spark, rows, "class", "_copy")

@@ -6,8 +6,8 @@ shingle). Texts of equal shingle sets are one class and are compared once.
 * Forest: ``TREES`` trees, each a trie over up to ``DEPTH`` minima of a class's signature. Matched
   prefixes are shortened from the full depth until pairs at the threshold share one in some tree with
   the target recall (``prefix_length``). Sorting the prefixes puts classes of one prefix side by side.
-* Within a prefix, signatures estimate the similarity; pairs that could reach the threshold (three and
-  a half deviations below it) connect candidates. Only a spanning tree of them leaves the task.
+* Within a prefix, signatures estimate the similarity; pairs that could reach the threshold (``MARGIN``
+  deviations below it) connect candidates. Only a spanning tree of them leaves the task.
 * Verification: within each connected set of candidates all pairs are compared on whole shingle sets.
   Links are exact: every pair of a connected set with Jaccard similarity of the threshold or more.
 
@@ -37,8 +37,9 @@ WORDS = 5
 THRESHOLD = 0.8
 TREES, DEPTH = 24, 8
 RECALL = 0.9999
-#: Minima kept for estimates, one byte each.
-ESTIMATES = 128
+#: Minima kept for estimates, one byte each, and deviations that an estimate may be under the threshold:
+#: about one pair at the threshold in a million is further below, so the prefixes decide the recall.
+ESTIMATES, MARGIN = 128, 5
 BLOCK = 512
 #: Shingles whose minima are taken together, and columns of a comparison; both bound memory.
 CHUNK = 4096
@@ -174,7 +175,7 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
 
 def _spanning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted rows ``bucket, i, j, class, signature`` to edges that connect likely pairs."""
-    least = THRESHOLD - 3.5 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / ESTIMATES)
+    least = THRESHOLD - MARGIN * math.sqrt(THRESHOLD * (1 - THRESHOLD) / ESTIMATES)
     need = math.ceil((least + (1 - least) / 256) * ESTIMATES)
     a_side: list[int] = []
     b_side: list[int] = []
