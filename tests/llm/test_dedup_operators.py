@@ -107,6 +107,23 @@ def test_pairs_far_below_their_estimate_are_linked(spark):
     assert sorted(map(tuple, out)) == sorted(brute.near_groups(rows)) and all(r["n_links"] == 1 for r in out)
 
 
+def test_a_class_meets_one_text_of_a_shared_id(spark, monkeypatch, tmp_path):
+    rows = [(None, text) for seed in range(20) for text in pair_of(seed)]
+    whole, seen = lsh_forest._shingle_sets, str(tmp_path / "seen")
+
+    def counted(batches):
+        for batch in batches:
+            with open(seen, "a") as f:
+                f.write(f"{batch.num_rows}\n")
+            yield from whole([batch])
+
+    monkeypatch.setattr(lsh_forest, "_shingle_sets", counted)
+    out = lsh_forest.near_duplicates(clashing(spark, rows)).collect()
+    assert len(out) == 40 and all(r["n_links"] == 1 for r in out)
+    with open(seen) as f:
+        assert sum(map(int, f)) == 40
+
+
 def test_one_of_each_group_stays(spark):
     rows = near_rows()
     df = clashing(spark, rows, "class", "_copy")

@@ -213,7 +213,7 @@ def _edges(a: list[int], b: list[int]) -> pa.RecordBatch:
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows ``component, class, copies, blocks, text`` to the same with ``shingles``; a text of another
-    class (of a repeated id) is left out."""
+    class (of an equal id and hash) is left out."""
     hasher = _hasher()
     for batch in batches:
         for begin in range(0, batch.num_rows, 512):
@@ -236,7 +236,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     roots_out: list[int] = []
     for group in _groups(batches, 3):
         names = group.column(4).to_numpy()
-        _, first = np.unique(names, return_index=True)  # a class may have several rows of one id
+        _, first = np.unique(names, return_index=True)  # a class may have several rows of one id and text
         names, side = names[first], group.column(3).to_numpy()[first]
         copies = group.column(5).to_numpy()[first]
         bodies = group.column(6).to_pylist()
@@ -340,10 +340,12 @@ def _grouped(documents: DataFrame) -> DataFrame:
     schema = "doc_id bigint, row_id bigint, row_hash bigint, class bigint, buckets array<bigint>, signature binary"
     signed = stored(rows.mapInArrow(_sign(prefix_length()), schema), "signed")
     classes = signed.where(F.col("class").isNotNull()).groupBy("class").agg(
-        F.min("row_id").alias("class_id"), F.count(F.lit(1)).alias("copies"),
+        F.min(F.struct("row_id", "row_hash")).alias("one"), F.count(F.lit(1)).alias("copies"),
         F.first("buckets").alias("buckets"), F.first("signature").alias("signature"),
     )
-    classes = stored(classes, "classes")
+    # Id and text hash of one row: many classes may share an id, or have none.
+    ones = [F.col("one.row_id").alias("class_id"), F.col("one.row_hash").alias("class_hash")]
+    classes = stored(classes.select("class", *ones, "copies", "buckets", "signature"), "classes")
     paths = classes.select("class", F.explode("buckets").alias("bucket"))
     shared = paths.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     # A table, so that both sides are shuffled for the join and Spark can split a hot bucket's rows.
@@ -355,12 +357,13 @@ def _grouped(documents: DataFrame) -> DataFrame:
     likely = dealt.sortWithinPartitions("bucket", "i", "j", "class").mapInArrow(_spanning, "a bigint, b bigint")
     candidates = components(likely.distinct()).withColumnsRenamed({"node": "class"})
     sizes = candidates.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    members = candidates.join(sizes, "component").join(classes.select("class", "class_id", "copies"), "class")
+    members = candidates.join(sizes, "component").join(classes.select("class", "class_id", "class_hash", "copies"), "class")
     block, pairs = _blocks_of(F.col("size"), F.col("class"))
     members = members.select(
-        "component", "class", "copies", F.struct(block.alias("block"), pairs.alias("pairs")).alias("blocks"), "class_id"
+        "component", "class", "copies", F.struct(block.alias("block"), pairs.alias("pairs")).alias("blocks"), "class_id", "class_hash"
     )
-    texts = members.join(rows.select(F.col("row_id").alias("class_id"), "text"), "class_id")
+    bodies = rows.select(F.col("row_id").alias("class_id"), F.col("row_hash").alias("class_hash"), "text")
+    texts = members.join(bodies, ["class_id", "class_hash"])
     kinds = {c: members.schema[c].dataType.simpleString() for c in ("component", "class", "copies", "blocks")}
     schema = ", ".join(f"{c} {k}" for c, k in kinds.items()) + ", shingles binary"
     sets = texts.select(*kinds, "text").mapInArrow(_shingle_sets, schema)
