@@ -112,6 +112,13 @@ def test_folding():
     assert fold("") == "  "
 
 
+def test_folding_takes_out_combining_and_invisible_signs():
+    fold = toxicity.Folder()
+    hidden = ["i\u0301diot", "id\u200biot", "\ufeffidi\u00adot", "idio\u0336t\u0336", "id\U000e0100iot"]
+    assert [fold(t) for t in hidden] == [" idiot "] * 5
+    assert fold("\u0301") == "  " and fold("a\x00b") == " a b "
+
+
 def toxic_rows():
     random.seed(7)
     fill = "la le lu lo li na ne nu".split()

@@ -1,8 +1,8 @@
 """Toxicity by a weighted lexicon, matched with Aho-Corasick on folded text.
 
-Folding lowers case, strips accents, maps look-alike letters to Latin ones and digits and signs to
-the letters they stand for, and turns all else into spaces; letters divided by single signs stay
-divided. Lexicon entries are whole words (`` word ``) or word beginnings (`` begin``); exception phrases are two
+Folding lowers case, strips accents (combining ones too) and invisible signs (Unicode's Mn and Cf), maps
+look-alike letters to Latin ones and digits and signs to the letters they stand for, and turns all
+else into spaces; letters divided by single signs stay divided. Lexicon entries are whole words (`` word ``) or word beginnings (`` begin``); exception phrases are two
 words of which one is in the lexicon but which together are harmless: they take their hits away.
 
 Entries, weights and exceptions are learned from labelled rows: document counts of each entry by
@@ -49,11 +49,14 @@ STANDS_FOR = str.maketrans("013457@$€!|", "oieastaseil")
 
 
 def _table() -> np.ndarray:
-    """Folded code point of every code point; 32 where none is left."""
+    """Folded code point of every code point; 32 where none is left, 0 where it is taken out."""
     out = np.full(0x110000, 32, np.uint32)
-    for c in range(0x30000):
+    for c in (*range(0x30000), *range(0xE0000, 0xE1000)):
         if 0xD800 <= c < 0xE000:
             continue
+        if unicodedata.category(chr(c)) in ("Mn", "Cf"):
+            out[c] = 0
+            continue
         base = unicodedata.normalize("NFKD", chr(c))[:1].lower().translate(LOOK_ALIKES)[:1]
         base = base.translate(STANDS_FOR)
         if base.isalnum():
@@ -66,8 +69,8 @@ class Folder:
         self.table = _table()
 
     def __call__(self, text: str) -> str:
-        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        return " " + self.table[points].tobytes().decode("utf-32-le") + " "
+        points = self.table[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+        return " " + points[points != 0].tobytes().decode("utf-32-le") + " "
 
 
 def _folder() -> Folder:
