@@ -1,11 +1,11 @@
-"""Near-duplicate join on word n-grams: MinHash LSH forest and exact verification.
+"""Near-duplicate join on word n-grams: MinHash with fixed banding and exact verification.
 
 Shingles are runs of ``WORDS`` lower-case words (divided by ASCII white space; a shorter text is one
 shingle). Texts of equal shingle sets are one class and are compared once.
 
-* Forest: ``TREES`` trees, each a trie over up to ``DEPTH`` minima of a class's signature. Matched
-  prefixes are shortened from the full depth until pairs at the threshold share one in some tree with
-  the target recall (``prefix_length``). Sorting the prefixes puts classes of one prefix side by side.
+* Bands: a signature has ``TREES`` paths of ``DEPTH`` minima. The longest prefix with which pairs at the
+  threshold meet in some path with the target recall (``prefix_length``, from the constants alone) is
+  hashed, one hash a path; the levels below it serve estimates only. Equal hashes are shuffled together.
 * Within a prefix, signatures estimate the similarity; pairs that could reach the threshold (``MARGIN``
   deviations below it) connect candidates. Only a spanning tree of them leaves the task.
 * Verification: within each connected set of candidates all pairs are compared on whole shingle sets.
