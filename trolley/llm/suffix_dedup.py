@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings by bucket-pointer refinement.
+"""Removal of repeated byte strings by minimiser buckets and block hashes, in place of bucket-pointer refinement.
 
 A byte is removed if a string of ``WINDOW`` bytes covers it that also starts anywhere else in the
 corpus. Every window start belongs to the position in its window with the smallest hashed q-gram, its
@@ -14,7 +14,8 @@ pointer; equal windows have equal q-grams at equal distances, so they belong to
   bucket is a whole window. Each step reuses what the last one settled and gets only the rest.
 
 Only pointers move, about one for 85 bytes; bucket sizes are combined before they are shuffled, so
-a passage of many documents loads no task. Identifiers are 64-bit polynomial hashes of the bytes.
+a passage of many documents loads no task. No bucket identifier is looked up for another suffix: each
+round hashes bytes of the text again. Identifiers are 64-bit polynomial hashes of the bytes.
 
 Rows: every input row gives one output row; a null text counts as empty. Repeated rows, also of one
 ``doc_id``, are copies of each other. Texts shorter than a window lose nothing.
