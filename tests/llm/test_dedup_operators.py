@@ -176,6 +176,21 @@ def test_edited_texts_and_neighbours(spark):
     assert syncmers.edited_likeness(clashing(spark, [])).count() == 0
 
 
+def test_likeness_counts_all_anchors(spark):
+    random.seed(11)
+    words = lambda n: " ".join("".join(random.choices("abcdefghij", k=3)) for _ in range(n))
+    shared = words(60)
+    rows = [(1, words(3000) + " " + shared), (2, shared + " " + words(2500)), (3, words(2000))]
+    found = syncmers.anchors(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    own = {d: {r["hash"] for r in found if r["doc_id"] == d} for d in (1, 2, 3)}
+    out = {r["doc_id"]: r for r in syncmers.edited_likeness(clashing(spark, rows)).collect()}
+    for d, after in ((1, 2), (2, 3), (3, 1)):
+        want = len(own[d] & own[after]) / len(own[d] | own[after])
+        assert abs(out[d]["near_next"] - want) < 1e-12
+        assert out[d]["fingerprint"] == "".join(f"{h & 0xFFFFFFFF:08x}" for h in sorted(own[d])[:64])
+    assert 0 < out[1]["near_next"] < 1 / 64
+
+
 def test_anchors_are_closed_syncmers(spark):
     """An anchor depends on its own pieces alone, and its smallest inner hash is at an edge."""
     import re

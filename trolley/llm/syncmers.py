@@ -6,11 +6,11 @@ substrings of ``S`` pieces is its first or its last one. Whether it is one depen
 anchors of a shared passage are the same in every document, wherever it stands. About half of all
 k-mers are anchors.
 
-``anchors`` gives them with positions, for matching passages. A fingerprint is the ``SKETCH`` smallest
-distinct 32-bit anchor hashes of a text in ascending order, eight hexadecimal digits each: likeness
-is the estimated share of common anchors (exact for texts of fewer anchors). A text without an anchor
-has the hash of the whole text as its only one; an empty text has an empty fingerprint, like another
-empty one (1) and unlike all others (0).
+``anchors`` gives them with positions, for matching passages. Likeness is the share of common anchors among
+all distinct anchor hashes (32 bits) of two texts; positions play no part in it. A fingerprint is the
+``SKETCH`` smallest of a text's hashes in ascending order, eight hexadecimal digits each. A text
+without an anchor has the hash of the whole text as its only one; an empty text has an empty
+fingerprint, like another empty one (1) and unlike all others (0).
 
 Rows: every input row is one document; a null text counts as empty. Documents are ordered by
 ``doc_id`` (null first), rows of one id by text. A text's pieces are held in memory, one text at a
@@ -80,27 +80,32 @@ def _anchors(text: Column) -> Column:
     return _let(F.regexp_extract_all(text, F.lit(PIECES), F.lit(0)), inner)
 
 
-def _smallest(hashes: Column) -> Column:
-    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, SKETCH)
-
-
-def _sketch(text: Column) -> Column:
+def _distinct_anchors(text: Column) -> Column:
     def never_empty(found: Column) -> Column:
         whole = F.when(text == "", F.array().cast("array<int>")).otherwise(F.array(F.hash(text)))
         return F.when(F.size(found) > 0, found).otherwise(whole)
 
-    return _let(_smallest(_anchors(text)["hash"]), never_empty)
+    return _let(F.array_distinct(_anchors(text)["hash"]), never_empty)
 
 
-def _printed(sketch: Column) -> Column:
+def _printed(hashes: Column) -> Column:
+    """The fingerprint of distinct hashes."""
+    sketch = F.slice(F.sort_array(hashes), 1, SKETCH)
     digits = F.transform(sketch, lambda h: F.lpad(F.hex(h.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))
     return F.lower(F.array_join(digits, ""))
 
 
 def _likeness(a: Column, b: Column) -> Column:
-    union = _smallest(F.array_union(a, b))
-    common = F.array_intersect(F.array_intersect(union, a), b)
-    return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(F.size(common) / F.size(union))
+    """The share of common hashes of two sets of distinct ones."""
+
+    def share(b: Column) -> Column:
+        def of(common: Column) -> Column:
+            union = F.size(a) + F.size(b) - common
+            return F.when(union == 0, F.lit(1.0)).otherwise(common / union)
+
+        return _let(F.size(F.array_intersect(a, b)), of)
+
+    return _let(b, share)
 
 
 def anchors(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -113,7 +118,7 @@ def anchors(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, fingerprint``."""
     rows = df.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    return rows.select(key, _printed(_sketch(F.col("_text"))).alias("fingerprint"))
+    return rows.select(key, _printed(_distinct_anchors(F.col("_text"))).alias("fingerprint"))
 
 
 def _first_of_next(rows: DataFrame) -> DataFrame:
@@ -126,13 +131,12 @@ def _first_of_next(rows: DataFrame) -> DataFrame:
     count = numbers.agg(F.count(F.lit(1)).alias("ranges")).scalar()
     before = numbers.select(F.col("range").alias("to_range"), F.pmod(F.col("number") - 1, count).alias("number"))
     steps = before.join(numbers, "number").select("range", "to_range")
-    first = rows.join(ids.select("place"), "place").withColumn("whole", _sketch(F.col("text")))
-    first = first.groupBy("range").agg(F.min(F.struct("text", "whole")).alias("first"))
+    first = rows.join(ids.select("place"), "place").groupBy("range").agg(F.min("text").alias("first"))
     return steps.join(first.withColumnRenamed("range", "to_range"), "to_range").select("range", "first")
 
 
 def with_next(documents: DataFrame) -> DataFrame:
-    """Rows ``doc_id, text`` with the sketch ``whole``, and ``next_text`` and ``next_whole`` of the next.
+    """Rows ``doc_id, text`` with the ``next_text``, the text of the next.
 
     Ids are cut to ranges of ``2 ** NEIGHBOUR_BITS``: rows of a range are sorted together, and its
     last row gets its next from the few rows that are the first of a range.
@@ -141,16 +145,9 @@ def with_next(documents: DataFrame) -> DataFrame:
     place = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
     rows = documents.withColumns({"place": place, "range": F.shiftright(place, NEIGHBOUR_BITS)})
     order = Window.partitionBy("range").orderBy(F.col("doc_id").asc_nulls_first(), "text")
-    placed = rows.drop("place").withColumn("whole", _sketch(F.col("text"))).withColumns(
-        {"next_text": F.lead("text").over(order), "next_whole": F.lead("whole").over(order)}
-    )
-    closing = F.col("next_text").isNull()
-    return placed.join(_first_of_next(rows), "range", "left").withColumns(
-        {
-            "next_whole": F.when(closing, F.col("first.whole")).otherwise(F.col("next_whole")),
-            "next_text": F.when(closing, F.col("first.text")).otherwise(F.col("next_text")),
-        }
-    )
+    placed = rows.drop("place").withColumn("next_text", F.lead("text").over(order))
+    # Texts are not null here, so only the last row of a range has no next.
+    return placed.join(_first_of_next(rows), "range", "left").withColumn("next_text", F.coalesce("next_text", "first"))
 
 
 def edited_likeness(documents: DataFrame) -> DataFrame:
@@ -162,16 +159,21 @@ def edited_likeness(documents: DataFrame) -> DataFrame:
     paired = paired.withColumn("quarter", F.floor(n / 4).cast("int"))
     fresh = F.substring(F.col("next_text"), F.lit(1), quarter)
     edited = paired.select(
-        "doc_id", "whole", "next_whole", n.cast("bigint").alias("n_chars"),
+        "doc_id", "text", "next_text", n.cast("bigint").alias("n_chars"),
         F.concat(F.substring(text, F.lit(1), n - quarter), fresh).alias("edited"),
     )
-    edited = edited.withColumn("edited_sketch", _sketch(F.col("edited")))
-    return edited.select(
-        "doc_id",
-        "n_chars",
-        F.sha2("edited", 256).alias("edited_sha256"),
-        _printed(F.col("whole")).alias("fingerprint"),
-        _printed(F.col("edited_sketch")).alias("edited_fingerprint"),
-        _likeness(F.col("whole"), F.col("edited_sketch")).alias("near_edited"),
-        _likeness(F.col("whole"), F.col("next_whole")).alias("near_next"),
-    )
+
+    # Each text's anchors are worked out once, after the last shuffle.
+    def found(whole: Column) -> Column:
+        def compared(other: Column) -> Column:
+            return F.struct(
+                _printed(whole).alias("fingerprint"),
+                _printed(other).alias("edited_fingerprint"),
+                _likeness(whole, other).alias("near_edited"),
+                _likeness(whole, _distinct_anchors(F.col("next_text"))).alias("near_next"),
+            )
+
+        return _let(_distinct_anchors(F.col("edited")), compared)
+
+    edited = edited.withColumn("found", _let(_distinct_anchors(text), found))
+    return edited.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "found.*")
