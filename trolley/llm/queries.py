@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trolley.llm import bpe, hilbert, language, lsh_forest, mixing, ordinal_quality, suffix_dedup, syncmers, token_planes, toxicity
+from trolley.llm import audit, bpe, hilbert, language, lemp, lsh_forest, mixing, ordinal_quality, simhash_trie, suffix_dedup, syncmers, token_planes, toxicity
 from trolley.llm.common import read_table
 
 
@@ -53,6 +53,18 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(documents, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op11_lemp_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lemp.of_every_hundredth(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_conversation_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.damaged_and_repaired(read_table(spark, sf_dir, "conversations"))
+
+
+def op13_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_trie.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_planes": op1_token_planes,
     "op2_language_id": op2_language_id,
@@ -64,5 +76,8 @@ QUERIES = {
     "op8_ordinal_quality": op8_ordinal_quality,
     "op9_syncmers": op9_syncmers,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_lemp_negatives": op11_lemp_negatives,
+    "op12_conversation_audit": op12_conversation_audit,
+    "op13_simhash_trie": op13_simhash_trie,
 }
-ORACLE_SQL = {"op4_temperature_mixing": mixing.ORACLE_SQL}
+ORACLE_SQL = {"op4_temperature_mixing": mixing.ORACLE_SQL, "op11_lemp_negatives": lemp.ORACLE_SQL}
