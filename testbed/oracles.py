@@ -597,6 +597,22 @@ ORACLES: dict[str, str] = {
                round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6)
                  AS cosine FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1""",
     "vec_topk": "SELECT * FROM candidates",
+    "vec_ivf_topk": "SELECT * FROM candidates",
+    "vec_bounded_topk": "SELECT * FROM candidates",
+    "vec_ivf_recall": """
+        SELECT count(DISTINCT customer_id) AS customers, count(*) AS true_rows, 1 AS recall_reached FROM candidates""",
+    "vec_bounded_clustered": """
+        WITH clustered AS (
+          SELECT vec_id, list_transform(embedding, lambda x, i: CAST(CAST(
+                   CAST(x AS DOUBLE) * CAST(0.2 AS DOUBLE) + CASE WHEN i = label + 1 THEN CAST(3 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END
+                 AS FLOAT) AS DOUBLE)) AS vector FROM embeddings)
+        SELECT query_id, vec_id, score, CAST(rank AS INTEGER) AS rank FROM (
+          SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+          FROM (SELECT q.vec_id AS query_id, i.vec_id, round(list_inner_product(q.vector, i.vector), 6) AS score
+                FROM clustered q, clustered i)) WHERE rank <= 10""",
+    "vec_bounded_pairs": """
+        SELECT count(*) AS items, count(*) * count(*) AS all_pairs, 1 AS half_at_most FROM embeddings""",
+    "batch_recommendations_bounded": "SELECT * FROM recs WHERE method = 'popularity'",
     "vec_cosine_topk": """
         SELECT query_id, article_id, score, CAST(rank AS INTEGER) AS rank FROM (
           SELECT query_id, article_id, score,

@@ -23,6 +23,7 @@ from trolley.operators import (
     favorites,
     images,
     interactions,
+    inverted,
     items,
     joins,
     metrics,
@@ -594,6 +595,67 @@ def vec_cosine_topk(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _vector_lists(spark: SparkSession, folder: str) -> inverted.InvertedFile:
+    return inverted.build_lists(_item_vectors(spark, folder), "article_id", "image_embedding")
+
+
+@query
+def vec_ivf_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The inverted file with every list probed."""
+    file = _vector_lists(spark, folder)
+    asked = t.user_vectors(spark, folder)
+    return inverted.probed_top_k(
+        file, asked, recommend.CANDIDATES, "customer_id", "article_id", "image_embedding", file.lists
+    )
+
+
+@query
+def vec_ivf_recall(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that the fitted number of lists returns, and whether nine tenths of the true ones are among them."""
+    file, asked = _vector_lists(spark, folder), t.user_vectors(spark, folder)
+    probes = inverted.fitted_probes(file, asked, recommend.CANDIDATES, "customer_id", "image_embedding")
+    names = (recommend.CANDIDATES, "customer_id", "article_id", "image_embedding")
+    found = inverted.probed_top_k(file, asked, *names, probes)
+    true = inverted.bounded_top_k(file, asked, *names)[0].select("customer_id", "article_id", F.lit(1).alias("hit"))
+    both = true.join(found.select("customer_id", "article_id", "score"), ["customer_id", "article_id"], "left")
+    return both.agg(
+        F.count_distinct("customer_id").alias("customers"),
+        F.count("hit").alias("true_rows"),
+        (F.count("score") >= 0.9 * F.count("hit")).cast("int").alias("recall_reached"),
+    )
+
+
+@query
+def vec_bounded_topk(spark: SparkSession, folder: str) -> DataFrame:
+    file, asked = _vector_lists(spark, folder), t.user_vectors(spark, folder)
+    return inverted.bounded_top_k(
+        file, asked, recommend.CANDIDATES, "customer_id", "article_id", "image_embedding"
+    )[0]
+
+
+def _clustered_search(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, int]:
+    stored = t.clustered_vectors(spark, folder)
+    file = inverted.build_lists(stored, "vec_id", "vector")
+    asked = stored.select(F.col("vec_id").alias("query_id"), "vector")
+    found, rounds = inverted.bounded_top_k(file, asked, 10, "query_id", "vec_id", "vector")
+    return found, rounds, int(file.sizes.sum())
+
+
+@query
+def vec_bounded_clustered(spark: SparkSession, folder: str) -> DataFrame:
+    return _clustered_search(spark, folder)[0]
+
+
+@query
+def vec_bounded_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of clustered vectors, and whether at most half of them were scored."""
+    _, rounds, items = _clustered_search(spark, folder)
+    pairs = F.lit(items).cast("bigint") * items
+    return rounds.agg(F.sum("pairs").alias("scored")).select(
+        F.lit(items).cast("bigint").alias("items"), pairs.alias("all_pairs"), (F.col("scored") * 2 <= pairs).cast("int").alias("half_at_most")
+    )
+
+
 def _popularity_score() -> Column:
     return F.col("retrieval_score") + F.coalesce("item_purchase_count", F.lit(0)) / F.lit(100.0)
 
@@ -608,13 +670,16 @@ def rerank_topk(spark: SparkSession, folder: str) -> DataFrame:
     return best.select("customer_id", "article_id", "retrieval_score", "score", "rank")
 
 
-def _recommendations(spark: SparkSession, folder: str, method: str, score: Column) -> DataFrame:
+def _recommendations(
+    spark: SparkSession, folder: str, method: str, score: Column, search: recommend.Search = nearest.top_k
+) -> DataFrame:
     return recommend.batch_recommendations(
         t.user_vectors(spark, folder),
         _item_vectors(spark, folder),
         items.item_popularity(t.transactions(spark, folder)),
         score,
         method,
+        search=search,
     )
 
 
@@ -623,6 +688,11 @@ def batch_recommendations(spark: SparkSession, folder: str) -> DataFrame:
     return _recommendations(spark, folder, "popularity", _popularity_score())
 
 
+@query
+def batch_recommendations_bounded(spark: SparkSession, folder: str) -> DataFrame:
+    return _recommendations(spark, folder, "popularity", _popularity_score(), recommend.bounded_search)
+
+
 @query
 def rec_summary(spark: SparkSession, folder: str) -> DataFrame:
     by_popularity = _recommendations(spark, folder, "popularity", _popularity_score())

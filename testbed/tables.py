@@ -181,6 +181,14 @@ def user_vectors(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def clustered_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored vectors made small, around one point for each label: clusters, unlike the given ones."""
+    near = F.transform(
+        "embedding", lambda x, i: x.cast("double") * 0.2 + F.when(i == F.col("label"), 3.0).otherwise(0.0)
+    )
+    return load(spark, folder, "embeddings").select("vec_id", near.cast("array<float>").alias("vector"))
+
+
 # Documents packed into one archive.
 DOCUMENTS_PER_ARCHIVE = 200
 
