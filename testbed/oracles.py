@@ -8,7 +8,7 @@ from __future__ import annotations
 import re
 
 from testbed.tables import CODED, DOCUMENTS_PER_ARCHIVE
-from trolley.columns import ITEM_CODES, ITEM_NUMERICS, USER_NUMERICS
+from trolley.columns import ARTICLES, CUSTOMERS, ITEM_CODES, ITEM_NUMERICS, TRANSACTIONS, USER_NUMERICS
 
 PARTS: dict[str, str] = {}
 
@@ -237,7 +237,6 @@ SELECT {table}.*, CASE WHEN {time} < low THEN 'train' WHEN {time} < high THEN 'v
 
 
 split_parts("log", "tx", "event_timestamp", 0.8, 0.9)
-split_parts("early", "bought", "event_timestamp", 0.02, 0.02)
 PARTS["event_log"] = "SELECT event_id, user_id, ts FROM events"
 split_parts("event", "event_log", "ts", 0.8, 0.9)
 
@@ -335,12 +334,31 @@ PARTS["feat_text"] = "SELECT customer_id, favorite_category FROM cust_feat"
 _feature_columns = ("customer_id", "favorite_category")
 _numeric_columns = ("purchase_count", "avg_spend")
 
+
+def _tidy_numbers(column: str, dtype: str) -> str:
+    """The numeric row of a column as a row for each statistic, fractions as text of thousandths."""
+    plain = ("dtype", "count", "null_count")
+    real = ("min", "max", "mean", "std", "p01", "p05", "p25", "p50", "p75", "p95", "p99")
+    texts = [f"SELECT feature, '{c}' AS stat, CAST({c} AS VARCHAR) AS value FROM n" for c in plain]
+    texts += [f"SELECT feature, '{c}', CAST(CAST(round({c}, 3) AS DECIMAL(30, 3)) AS VARCHAR) FROM n" for c in real]
+    return f"WITH n AS ({_numeric('cust_feat', column, dtype)}) " + " UNION ALL ".join(texts)
+
+
+def _row_digest(table: str, columns: tuple[str, ...], cents: tuple[str, ...] = ()) -> str:
+    """A digest of each row's cells, numbers with fractions as hundredths."""
+    cells = [f"CAST(CAST(round({c} * 100) AS BIGINT) AS VARCHAR)" if c in cents else f"CAST({c} AS VARCHAR)" for c in columns]
+    text = " || '|' || ".join(f"coalesce({c}, '-')" for c in cells)
+    return f"SELECT '{table}' AS table_name, md5({text}) AS cells"
+
 ORACLES: dict[str, str] = {
     # sources and sinks
-    "src_raw_tables": """
-        SELECT 'articles' AS table_name, count(*) AS row_count, count(DISTINCT article_id) AS keys FROM art_raw
-        UNION ALL SELECT 'customers', count(*), count(DISTINCT customer_id) FROM cust_raw
-        UNION ALL SELECT 'transactions', count(*), count(DISTINCT customer_id) FROM tx_raw""",
+    "src_raw_tables": " UNION ALL ".join(
+        (
+            _row_digest("articles", tuple(ARTICLES.names)) + " FROM art_raw",
+            _row_digest("customers", tuple(CUSTOMERS.names), ("FN", "Active", "age")) + " FROM cust_raw",
+            _row_digest("transactions", tuple(TRANSACTIONS.names), ("price",)) + " FROM tx_raw",
+        )
+    ),
     "src_normalized_ids": f"SELECT customer_id, {pad('article_id')} AS article_id, t_dat FROM tx_raw",
     "src_projected": "SELECT l_orderkey, l_partkey, l_linenumber FROM lineitem",
     "sink_roundtrip": "SELECT * FROM tx",
@@ -389,17 +407,25 @@ ORACLES: dict[str, str] = {
         FROM tx LEFT JOIN cust USING (customer_id) LEFT JOIN art USING (article_id)
         LEFT JOIN user_stat USING (customer_id) LEFT JOIN item_stat USING (article_id)""",
     "two_tower_interactions": "SELECT * FROM wide_two_tower",
-    "ranking_interactions_as_of": """
-        SELECT t.customer_id, t.article_id, t.t_dat, t.price, product_group_name, user_avg_price,
-               user_total_interactions, item_popularity, abs(user_avg_price - t.price) AS price_affinity,
-               CAST(date_diff('day', t.t_dat, last_purchase) AS INTEGER) AS days_since_last_purchase
-        FROM tx t LEFT JOIN art USING (article_id)
-        LEFT JOIN (SELECT customer_id, avg(price) AS user_avg_price,
-                          count(*) AS user_total_interactions, max(t_dat) AS last_purchase
-                   FROM tx WHERE t_dat < TIMESTAMP '2000-01-01' GROUP BY customer_id) u USING (customer_id)
-        LEFT JOIN (SELECT article_id, count(*) AS item_popularity
-                   FROM tx WHERE t_dat < TIMESTAMP '2000-01-01' GROUP BY article_id) i USING (article_id)
-        WHERE t.t_dat >= TIMESTAMP '2000-01-01'""",
+    "ranking_interactions_as_of": f"""
+        WITH known AS (SELECT * FROM bought WHERE event_timestamp < TIMESTAMP '2000-01-01'),
+        user_known AS (
+          SELECT customer_id, avg(price) AS user_avg_price, count(*) AS user_total_interactions,
+                 count(DISTINCT product_group_name) AS user_category_diversity,
+                 max(event_timestamp) AS last_purchase_ts FROM known GROUP BY customer_id),
+        item_known AS (
+          SELECT article_id, count(*) AS item_popularity, avg(price) AS item_avg_price,
+                 count(DISTINCT customer_id) AS unique_buyers FROM known GROUP BY article_id)
+        SELECT tx.*, cust.* EXCLUDE (customer_id), art.* EXCLUDE (article_id), {CALENDAR},
+               user_avg_price, user_total_interactions, user_category_diversity,
+               item_popularity, item_avg_price, unique_buyers,
+               abs(user_avg_price - price) AS price_affinity,
+               item_popularity * price AS popularity_price_score, last_purchase_ts,
+               CAST(date_diff('day', event_timestamp, last_purchase_ts) AS INTEGER)
+                 AS days_since_last_purchase, 1 AS label
+        FROM tx LEFT JOIN cust USING (customer_id) LEFT JOIN art USING (article_id)
+        LEFT JOIN user_known USING (customer_id) LEFT JOIN item_known USING (article_id)
+        WHERE event_timestamp >= TIMESTAMP '2000-01-01'""",
     "customer_sales_summary": """
         SELECT customer_id, sum(price) AS total_sales, avg(price) AS avg_sales, count(price) AS total_orders
         FROM tx JOIN cust USING (customer_id) GROUP BY customer_id""",
@@ -472,9 +498,8 @@ ORACLES: dict[str, str] = {
           FROM ({_categorical('feat_text', _feature_columns)})
         """
     + " ".join(
-        f"UNION ALL SELECT 'numeric', '{c}', 'count', CAST(count({c}) AS VARCHAR) FROM cust_feat "
-        f"UNION ALL SELECT 'numeric', '{c}', 'null_count', CAST(count(*) - count({c}) AS VARCHAR) FROM cust_feat"
-        for c in _numeric_columns
+        f"UNION ALL SELECT 'numeric', feature, stat, value FROM ({_tidy_numbers(c, dtype)})"
+        for c, dtype in zip(_numeric_columns, ("bigint", "double"), strict=True)
     )
     + ")",
     "dataset_profile": """
@@ -518,7 +543,7 @@ ORACLES: dict[str, str] = {
     + ", ".join(f"coalesce(CAST({c} AS INTEGER), -1) AS {c}" for c in ITEM_CODES)
     + " FROM item_feat",
     "encode_categories": f"""
-        WITH seen AS (SELECT * FROM early_split WHERE split = 'train'),
+        WITH seen AS (SELECT * FROM bought WHERE product_group_name NOT LIKE 'promo%' AND colour_group_name <> 'brand#11'),
              seen_category AS ({favorite('seen', 'product_group_name', 'favorite_category')}),
              seen_color AS ({favorite('seen', 'colour_group_name', 'favorite_color')}),
              known_category AS ({dense('seen_category', 'favorite_category', 'favorite_category_idx', 1)}),

@@ -54,8 +54,6 @@ EVENTS = Columns(
     channel="event_type",
 )
 
-STATISTICS_ACCURACY = 1_000_000
-
 
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
@@ -82,17 +80,16 @@ def src_raw_tables(spark: SparkSession, folder: str) -> DataFrame:
     t.raw_transactions(spark, folder).write.parquet(f"{base}/transactions.parquet")
     articles, customers, transactions = tables.read_all_raw(spark, base)
 
-    def shape(name: str, df: DataFrame, key: str) -> DataFrame:
-        return df.agg(
-            F.lit(name).alias("table_name"),
-            F.count(F.lit(1)).alias("row_count"),
-            F.count_distinct(key).alias("keys"),
-        )
+    def digest(name: str, df: DataFrame, cents: Sequence[str] = ()) -> DataFrame:
+        """A digest of each row's cells, numbers with fractions as hundredths."""
+        cells = [F.round(F.col(c) * 100).cast("bigint") if c in cents else F.col(c) for c in df.columns]
+        text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("-")) for c in cells])
+        return df.select(F.lit(name).alias("table_name"), F.md5(text.cast("binary")).alias("cells"))
 
     return (
-        shape("articles", articles, "article_id")
-        .unionByName(shape("customers", customers, "customer_id"))
-        .unionByName(shape("transactions", transactions, "customer_id"))
+        digest("articles", articles)
+        .unionByName(digest("customers", customers, ("FN", "Active", "age")))
+        .unionByName(digest("transactions", transactions, ("price",)))
     )
 
 
@@ -244,19 +241,7 @@ def two_tower_interactions(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def ranking_interactions_as_of(spark: SparkSession, folder: str) -> DataFrame:
     cut = F.lit("2000-01-01").cast("timestamp_ntz")
-    wide = interactions.ranking_interactions(*t.star(spark, folder), as_of=cut)
-    return wide.select(
-        "customer_id",
-        "article_id",
-        "t_dat",
-        "price",
-        "product_group_name",
-        "user_avg_price",
-        "user_total_interactions",
-        "item_popularity",
-        "price_affinity",
-        "days_since_last_purchase",
-    )
+    return interactions.ranking_interactions(*t.star(spark, folder), as_of=cut)
 
 
 @query
@@ -326,9 +311,7 @@ def ranking_features(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stats_numeric(spark: SparkSession, folder: str) -> DataFrame:
-    stats = profile.numeric_statistics(
-        calendar.temporal_features(t.transactions(spark, folder)), accuracy=STATISTICS_ACCURACY
-    )
+    stats = profile.numeric_statistics(calendar.temporal_features(t.transactions(spark, folder)))
     return stats.withColumn("std", F.round("std", 3))
 
 
@@ -350,10 +333,12 @@ def embedding_coverage(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def feature_statistics(spark: SparkSession, folder: str) -> DataFrame:
-    table = users.customer_features(t.purchases(spark, folder))
-    stats = profile.feature_statistics(table, "customer_features", STATISTICS_ACCURACY)
-    counted = F.col("stat").isin("row_count", "column_count", "unique_count", "count", "null_count")
-    return stats.where(counted | (F.col("kind") == "top_value"))
+    table = materialize(users.customer_features(t.purchases(spark, folder)), "customer-features")
+    stats = profile.feature_statistics(table, "customer_features")
+    # Fractions as text of thousandths: comparable across engines.
+    real = (F.col("kind") == "numeric") & ~F.col("stat").isin("dtype", "count", "null_count")
+    thousandths = F.round(F.col("value").cast("double"), 3).cast("decimal(30,3)").cast("string")
+    return stats.withColumn("value", F.when(real, thousandths).otherwise(F.col("value")))
 
 
 @query
@@ -426,11 +411,11 @@ def encode_item_matrix(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def encode_categories(spark: SparkSession, folder: str) -> DataFrame:
-    """Vocabularies of the training period, applied to the users of the whole log."""
+    """Vocabularies without some categories and a colour, applied to the users of the whole log."""
     log = t.stored_purchases(spark, folder)
     wanted = {"favorite_category": "product_group_name", "favorite_color": "colour_group_name"}
-    early = split.temporal_split(log, split.Ratios(0.02, 0.0, 0.98))
-    seen = favorites.favorites(early.where(F.col("split") == split.TRAIN), wanted)
+    held_out = F.col("product_group_name").startswith("promo") | (F.col("colour_group_name") == "brand#11")
+    seen = favorites.favorites(log.where(~held_out), wanted)
     return encoding.encode_categories(
         favorites.favorites(log, wanted), {c: encoding.vocabulary(seen, c) for c in wanted}
     )

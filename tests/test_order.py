@@ -4,7 +4,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from trolley.functions.ordered import dense_index, running_totals
-from trolley.functions.quantiles import exact_quantiles
+from trolley.functions import quantiles
+from trolley.functions.quantiles import exact_percentiles, exact_quantiles
 from trolley.operators.metrics import binary_metrics
 
 
@@ -69,3 +70,35 @@ def test_area_under_curve_with_ties(spark):
     assert found.accuracy == sum((s > 0.5) == bool(l) for s, l in rows) / len(rows)
     only = binary_metrics(spark.createDataFrame([(0.2, 1)], "score double, label int")).first()
     assert only.auc is None and only.precision is None and only.recall == 0.0
+
+
+def test_percentiles_of_numbers_of_every_size(spark):
+    rng = np.random.default_rng(11)
+    n = 6000
+    columns = {
+        "spread": np.ldexp(rng.choice([-1.0, 1.0], n) * (1 + rng.random(n)), rng.integers(-1080, 1000, n)),
+        "close": 1 + rng.integers(0, 50, n) * 2.0**-52,
+        "odd": np.where(rng.random(n) < 0.3, rng.choice([np.inf, -np.inf, np.nan, 0.0, -0.0, 5e-324, 1.7e308], n), rng.normal(size=n)),
+        "halves": np.ldexp(1.0, -rng.integers(0, 1074, n)),
+    }
+    whole = rng.integers(-(1 << 63), (1 << 63) - 1, n)
+    whole[:3] = -(1 << 63), (1 << 63) - 1, 0
+    near = (1 << 60) + rng.integers(0, 40, n)
+    rows = list(zip(*[c.tolist() for c in columns.values()], whole.tolist(), near.tolist(), strict=True))
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in columns) + ", whole long, near long").repartition(6)
+    df = df.withColumn("money", F.expr("cast(near as decimal(38,2)) / 100").cast("decimal(38,4)"))
+    shares = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99, 1.0, 0.0)
+    found = exact_percentiles(df, [*columns, "whole", "near", "money"], shares)
+    ranks = [max(1, int(np.ceil(round(n * s, 6)))) - 1 for s in shares]
+    for name, values in [*columns.items(), ("whole", whole), ("near", near)]:
+        want = np.sort(values)[ranks].tolist()
+        assert all(a == b or (a != a and b != b) for a, b in zip(found[name], want, strict=True)), name
+    assert [int(x * 100) for x in found["money"]] == np.sort(near)[ranks].tolist()
+    assert exact_percentiles(df.limit(0), ["odd", "whole"], [0.5]) == {"odd": [None], "whole": [None]}
+
+
+def test_no_value_is_shuffled(spark):
+    df = spark.range(200_000).selectExpr("id * 7919 % 200000 / 3.0D as x")
+    slots = {0: quantiles._Slot("x", 0, {0: 0})}
+    bins = quantiles._scan(df, slots, {"x": "double"})
+    assert len(bins[0]) < 25 and sum(n for n, *_ in bins[0]) == 200_000

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from trolley.columns import DEFAULT, Columns
+from trolley.functions.quantiles import exact_percentiles
+from trolley.functions.scratch import materialize
 
 # Percentiles of a numeric feature and the number of most frequent values kept.
 PERCENTILES = (0.01, 0.05, 0.25, 0.50, 0.75, 0.95, 0.99)
@@ -37,16 +39,18 @@ def embedding_features(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)]
 
 
-def numeric_statistics(
-    df: DataFrame, columns: Iterable[str] | None = None, accuracy: int = 10_000
-) -> DataFrame:
-    """One row per numeric column: count, nulls, range, mean, sample deviation, percentiles."""
+def numeric_statistics(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+    """One row per numeric column: count, nulls, range, mean, sample deviation, exact percentiles.
+
+    The columns are written once to the shared folder, as the percentiles take a few scans.
+    """
     names = list(columns or numeric_features(df))
     types = dict(df.dtypes)
+    stored = materialize(df.select(*names), "numeric-features")
+    cuts = exact_percentiles(stored, names, PERCENTILES)
 
     def summary(c: str) -> Column:
         value = F.col(c).cast("double")
-        cuts = F.percentile_approx(value, list(PERCENTILES), accuracy)
         return F.struct(
             F.lit(c).alias("feature"),
             F.lit(types[c]).alias("dtype"),
@@ -56,10 +60,10 @@ def numeric_statistics(
             F.max(value).alias("max"),
             F.avg(value).alias("mean"),
             F.stddev_samp(value).alias("std"),
-            *[F.get(cuts, F.lit(i)).alias(f"p{round(p * 100):02d}") for i, p in enumerate(PERCENTILES)],
+            *[F.lit(x).cast("double").alias(f"p{round(p * 100):02d}") for p, x in zip(PERCENTILES, cuts[c])],
         )
 
-    return df.agg(F.array(*[summary(c) for c in names]).alias("rows")).select(F.inline("rows"))
+    return stored.agg(F.array(*[summary(c) for c in names]).alias("rows")).select(F.inline("rows"))
 
 
 def value_counts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -121,7 +125,7 @@ def embedding_coverage(items: DataFrame) -> DataFrame:
     return items.agg(F.avg("embedding_available").alias("coverage_ratio"))
 
 
-def feature_statistics(df: DataFrame, dataset_name: str, accuracy: int = 10_000) -> DataFrame:
+def feature_statistics(df: DataFrame, dataset_name: str) -> DataFrame:
     """All statistics of a table as ``(dataset, kind, feature, stat, value)`` text rows."""
 
     def tidy(stats: DataFrame, kind: str) -> DataFrame:
@@ -136,7 +140,7 @@ def feature_statistics(df: DataFrame, dataset_name: str, accuracy: int = 10_000)
     )
     parts = [tidy(shape, "table")]
     if numeric_features(df):
-        parts.append(tidy(numeric_statistics(df, accuracy=accuracy), "numeric"))
+        parts.append(tidy(numeric_statistics(df), "numeric"))
     if categorical_features(df):
         parts.append(tidy(unique_counts(df), "categorical"))
         listed = top_values(df).select(

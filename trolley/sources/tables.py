@@ -33,14 +33,18 @@ DATASETS: Mapping[str, str] = {
 def read_raw(
     spark: SparkSession, base: str, name: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """One raw parquet table; without ``schema`` the file's own types are kept."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    """One raw parquet table; without ``schema`` the file's own types are kept.
+
+    With it the columns come in its order and types: a number may be read as text or as a wider number, a
+    missing column is null, and a type that would lose values is an error.
+    """
+    df = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    return df if schema is None else df.to(schema)
 
 
 def read_all_raw(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Articles, customers, transactions. Lazy: nothing is counted."""
-    return tuple(read_raw(spark, base, name) for name in RAW_TABLES)
+    """Articles, customers, transactions with their declared types. Lazy: nothing is counted."""
+    return tuple(read_raw(spark, base, name, schema) for name, schema in RAW_TABLES.items())
 
 
 def read_normalized(spark: SparkSession, path: str, cols: Columns = DEFAULT) -> DataFrame:
