@@ -437,8 +437,9 @@ def _ranking_rows(spark: SparkSession, folder: str) -> DataFrame:
     per_user = log.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("purchase_count"), F.avg("price").alias("avg_spend")
     )
-    popular = items.item_popularity(log)
-    wide = joins.skew_join(joins.skew_join(log, per_user, "customer_id"), popular, "article_id")
+    popular = materialize(items.item_popularity(log), "popularity")
+    wide = joins.skew_join(log, per_user, "customer_id", computed=True)
+    wide = joins.skew_join(wide, popular, "article_id")
     return training.ranking_dataset(wide, popular, t.raw_embeddings(spark, folder))
 
 

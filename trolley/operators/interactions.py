@@ -53,8 +53,8 @@ def ranking_interactions(
     users = user_stats.join(customers, cols.user, "full" if as_of is not None else "left")
     items = item_stats.join(articles, cols.item, "full" if as_of is not None else "left")
     facts = timed if as_of is None else timed.where(F.col(cols.time) >= F.lit(as_of))
-    wide = skew_join(facts, users, cols.user)
-    wide = skew_join(wide, items, cols.item)
+    wide = skew_join(facts, users, cols.user, computed=True)
+    wide = skew_join(wide, items, cols.item, computed=True)
     featured = temporal_features(wide, cols).withColumns(
         {
             "price_affinity": F.abs(F.col("user_avg_price") - F.col(cols.price)),
@@ -109,8 +109,8 @@ def two_tower_interactions(
     users = summary.join(customers, cols.user, "full" if as_of is not None else "left")
     items = popularity.join(articles, cols.item, "full" if as_of is not None else "left")
     facts = transactions if as_of is None else transactions.where(F.col(cols.time) >= F.lit(as_of))
-    wide = skew_join(facts, users, cols.user)
-    wide = skew_join(wide, items, cols.item)
+    wide = skew_join(facts, users, cols.user, computed=True)
+    wide = skew_join(wide, items, cols.item, computed=True)
     return temporal_features(wide, cols).select(
         *transactions.columns,
         *[c for c in customers.columns if c != cols.user],

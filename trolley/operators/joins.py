@@ -9,19 +9,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trolley.columns import DEFAULT, Columns
+from trolley.functions.scratch import materialize
 
 
 def skew_join(
-    facts: DataFrame, table: DataFrame, on: str | Sequence[str], how: str = "left", null_keys: bool = False
+    facts: DataFrame,
+    table: DataFrame,
+    on: str | Sequence[str],
+    how: str = "left",
+    null_keys: bool = False,
+    computed: bool = False,
 ) -> DataFrame:
     """Join ``facts`` to a keyed ``table`` (one row per key); ``how`` is left or inner.
 
     One plan for every size: Spark broadcasts the table if its measured size allows it, else it
     cuts the shuffled partition of a hot key (null keys of a left join too) to parts of the
     advisory size and joins each with the key's row. That needs adaptive execution with
-    its skew join, which are on by default. ``null_keys`` lets null keys match null keys.
+    its skew join, which are on by default, and both sides fresh from a shuffle: a table ``computed``
+    by its key (an aggregate, a join) would be used as it lies, so it is written to the shared folder first.
+    ``null_keys`` lets null keys match null keys.
     """
     keys = [on] if isinstance(on, str) else list(on)
+    if computed:
+        table = materialize(table, "keyed-side")
     if not null_keys:
         return facts.join(table, keys, how)
     right = table.withColumnsRenamed({k: f"_{k}" for k in keys})

@@ -62,7 +62,7 @@ def purchase_gap_events(df: DataFrame, cols: Columns = DEFAULT, slice_unit: str
 def purchase_recency(df: DataFrame, cols: Columns = DEFAULT) -> DataFrame:
     """Add the user's latest event time and the days from each event to it."""
     latest = df.groupBy(cols.user).agg(F.max(cols.time).alias("last_purchase_ts"))
-    return skew_join(df, latest, cols.user).withColumn(
+    return skew_join(df, latest, cols.user, computed=True).withColumn(
         "days_since_last_purchase", F.datediff("last_purchase_ts", cols.time)
     )
 
