@@ -13,8 +13,8 @@ pointer; equal windows have equal q-grams at equal distances, so they belong to
   the q-gram). The step is repeated on what is not settled with blocks of one distance, where a
   bucket is a whole window. Each step reuses what the last one settled and gets only the rest.
 
-Only pointers move, about one for 85 bytes; bucket sizes are combined before they are shuffled, so
-a passage of many documents loads no task. No bucket identifier is looked up for another suffix: each
+Only pointers move, about one for 85 bytes. Buckets are found by sorting the pointers by ranges, which cut a
+bucket of very many entries, and by comparing neighbours, so a passage of many documents loads no task. No bucket identifier is looked up for another suffix: each
 round hashes bytes of the text again. Identifiers are 64-bit polynomial hashes of the bytes.
 
 Rows: every input row gives one output row; a null text counts as empty. Repeated rows, also of one
@@ -213,35 +213,98 @@ def _blocks(roller: Roller, data: np.ndarray, at, near, far, block: int) -> tupl
 
 
 OWN = ["row_id", "row_hash", "at", "near", "far"]
+ORDER = ["key", "context", "row_id", "row_hash", "at"]
+#: What a sorted entry becomes: a span to remove, an entry to refine, or one end of a task's run.
+SETTLED, OPEN, END = 0, 1, 2
 
 
-def _marked(entries: DataFrame, name: str) -> DataFrame:
-    """Entries of buckets with several, stored; ``key`` and ``context`` are null where settled."""
-    buckets = entries.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("context").alias("low"), F.max("context").alias("high")
-    )
-    repeated = buckets.where("n > 1").select("key", (F.col("low") != F.col("high")).alias("open"))
-    # A table, so that both sides are shuffled for the join: only then does Spark split the partition
-    # of a hot bucket. Not broadcast: repeated buckets grow with the corpus.
-    repeated = stored(repeated, f"{name}-buckets")
-    marked = entries.join(repeated.hint("merge"), "key")
-    kept = [F.when(F.col("open"), F.col(c)).alias(c) for c in ("key", "context")]
-    return stored(marked.select(*kept, *OWN), name)
-
-
-def _sorted_out(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Settled spans to remove, and the entries to refine: one of each context of an open bucket."""
-    mixed = marked.where(F.col("key").isNotNull())
-    contexts = mixed.groupBy("key", "context").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct(*OWN)).alias("one")
-    )
-    # Entries of one context settle each other; one of them still stands for it in its bucket.
-    same = mixed.join(contexts.where("n > 1").select("key", "context").hint("merge"), ["key", "context"])
-    settled = marked.where(F.col("key").isNull()).select(*OWN).unionByName(same.select(*OWN))
+class _Sorter:
+    """Sorted entries of one task to settled, open and end entries; holds a row between batches.
+
+    A bucket is the rows of one key, a run those of one key and context. A run of several rows is settled. The first
+    row of a run stands for it where its bucket has other runs. The first and the last run of a task may go on in
+    another task: their first rows are ends, with the rows seen (two for all above one). A bucket at a task's edge
+    counts as one with other runs, which only refines more.
+    """
+
+    def __init__(self) -> None:
+        self.last: pa.RecordBatch | None = None  # the row that the next batch goes on from
+        self.first: pa.RecordBatch | None = None  # the first row of its run
+        self.settled = False  # whether its run has several rows, which then are given out
+        self.opened = False  # whether its bucket has an earlier run
+        self.runs = self.buckets = 0  # complete ones of this task
+
+    def add(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        rows = batch if self.last is None else pa.Table.from_batches([self.last, batch]).combine_chunks().to_batches()[0]
+        key, context = (rows.column(c).to_numpy() for c in (0, 1))
+        new_key = np.append(True, key[1:] != key[:-1])
+        new_run = new_key | np.append(True, context[1:] != context[:-1])
+        start = np.flatnonzero(new_run)
+        run = np.cumsum(new_run) - 1
+        size = np.diff(np.append(start, len(key)))
+        several = size > 1
+        several[0] |= self.settled
+        spans = several[run]
+        # The held row is given out once.
+        if self.last is not None and self.settled:
+            spans[0] = False
+        yield _given(rows.take(pa.array(np.flatnonzero(spans))), SETTLED)
+        # Complete runs: all but the last one.
+        bucket = np.cumsum(new_key)[start]
+        other = np.zeros(len(start), bool)
+        other[1:] |= bucket[1:] == bucket[:-1]
+        other[:-1] |= bucket[1:] == bucket[:-1]
+        other[0] |= self.opened
+        if self.buckets == 0:
+            other |= bucket == bucket[0]
+        firsts = rows.take(pa.array(start))
+        if self.first is not None:
+            firsts = pa.Table.from_batches([self.first, firsts.slice(1)]).combine_chunks().to_batches()[0]
+        done = other[:-1].copy()
+        if self.runs == 0 and len(done):
+            done[0] = False
+            yield _given(firsts.slice(0, 1), END, 1 + int(several[0]))
+        yield _given(firsts.take(pa.array(np.flatnonzero(done))), OPEN)
+        self.opened = bool(other[-1]) if len(start) == 1 else bool(bucket[-1] == bucket[-2])
+        self.runs, self.buckets = self.runs + len(start) - 1, self.buckets + int(bucket[-1] - bucket[0])
+        self.last, self.first, self.settled = rows.slice(len(key) - 1), firsts.slice(len(start) - 1), bool(several[-1])
+
+    def end(self) -> Iterator[pa.RecordBatch]:
+        if self.first is not None:
+            yield _given(self.first, END, 1 + int(self.settled))
+
+
+def _given(rows: pa.RecordBatch, kind: int, n: int = 0) -> pa.RecordBatch:
+    more = [pa.array(np.full(rows.num_rows, x, np.int32)) for x in (kind, n)]
+    return pa.RecordBatch.from_arrays([*rows.columns, *more], [*rows.schema.names, "kind", "n"])
+
+
+def _sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sorter = _Sorter()
+    for batch in batches:
+        if batch.num_rows:
+            yield from sorter.add(batch)
+    yield from sorter.end()
+
+
+def _sorted_out(entries: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Settled spans to remove, and the entries to refine: one of each context of an open bucket.
+
+    Entries are sorted by ranges of bucket, context and place, so a bucket of very many entries is cut between
+    tasks, and each is compared with its neighbours only.
+    """
+    entries = stored(entries, f"{name}-entries")
+    ordered = entries.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
+    given = stored(ordered.mapInArrow(_sort_out, f"{ENTRY}, kind int, n int"), name)
+    # Two rows of each task: runs that go on in other tasks are put together here.
+    parts = F.collect_list(F.struct(*OWN, "n")).alias("parts")
+    ends = given.where(F.col("kind") == END).groupBy("key", "context").agg(F.sum("n").alias("n"), F.min(F.struct(*OWN)).alias("one"), parts)
+    alone = ends.where("n > 1").select(F.inline("parts")).where("n = 1").select(*OWN)
+    settled = given.where(F.col("kind") == SETTLED).select(*OWN).unionByName(alone)
     spans = settled.select(
         "row_id", "row_hash", (F.col("at") - F.col("far")).alias("a"), (F.col("at") - F.col("near") + WINDOW).alias("b")
     )
-    return spans, contexts.select("one.*")
+    return spans, given.where(F.col("kind") == OPEN).select(*OWN).unionByName(ends.select("one.*"))
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,13 +354,13 @@ def remove_repeats(documents: DataFrame, keep: list[str]) -> DataFrame:
     more = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[3:])
     bodies = rows.mapInArrow(_pack, f"{own}body binary{more}")
     entries = rows.select("row_id", "row_hash", "text").mapInArrow(_scan, ENTRY)
-    found, open_entries = _sorted_out(_marked(entries, "pointers"))
+    found, open_entries = _sorted_out(entries, "pointers")
     # Sets, not lists: repeated rows of one id and text have the same entries.
     for block in BLOCKS:
         asked = open_entries.groupBy("row_id", "row_hash").agg(F.collect_set(F.struct("at", "near", "far")).alias("e"))
         joined = bodies.select("row_id", "row_hash", "body").join(asked.hint("merge"), ["row_id", "row_hash"])
         entries = joined.select("row_id", "row_hash", "body", "e.at", "e.near", "e.far").mapInArrow(_refiner(block), ENTRY)
-        spans, open_entries = _sorted_out(_marked(entries, f"blocks-{block}"))
+        spans, open_entries = _sorted_out(entries, f"blocks-{block}")
         found = found.unionByName(spans)
     cuts = found.groupBy("row_id", "row_hash").agg(F.collect_set(F.struct("a", "b")).alias("pairs"))
     joined = bodies.join(cuts.hint("merge"), ["row_id", "row_hash"], "left")
