@@ -436,6 +436,15 @@ ORACLES: dict[str, str] = {
                count(*) FILTER (split = 'validation') AS validation_rows,
                count(*) FILTER (split = 'test') AS test_rows,
                64 AS embedding_dimension, 42 AS random_seed FROM log_split""",
+    "split_metadata_written": """
+        SELECT 'test' AS environment, count(*) FILTER (split = 'train') AS train_rows,
+               count(*) FILTER (split = 'validation') AS validation_rows,
+               count(*) FILTER (split = 'test') AS test_rows,
+               64 AS embedding_dimension, 42 AS random_seed FROM log_split""",
+    "table_shapes_written": f"""
+        SELECT 'transactions' AS dataset, count(*) AS row_count, {len(TRANSACTIONS.names) + 1} AS column_count FROM tx
+        UNION ALL SELECT 'customers', count(*), {len(CUSTOMERS.names)} FROM cust
+        UNION ALL SELECT 'articles', count(*), {len(ARTICLES.names)} FROM art""",
     "hash_split": f"""
         SELECT customer_id, article_id, t_dat,
                CASE WHEN {portable_hash('customer_id', 'article_id', 't_dat', '42')} % 100 < 20
@@ -502,6 +511,18 @@ ORACLES: dict[str, str] = {
         for c, dtype in zip(_numeric_columns, ("bigint", "double"), strict=True)
     )
     + ")",
+    "stats_of_chunks": " UNION ALL ".join(
+        [
+            f"SELECT '{c}' AS feature, count({c}) AS count, count(*) - count({c}) AS null_count, "
+            f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, round(avg({c}), 3) AS mean, "
+            f"round(stddev_samp({c}), 3) AS std, 1 AS percentiles_close, 1 AS distinct_close FROM timed"
+            for c in ("price", "sales_channel_id", "day_of_week", "month", "year", "is_weekend")
+        ]
+        + [
+            f"SELECT '{c}', count({c}), count(*) - count({c}), NULL, NULL, NULL, NULL, NULL, 1 FROM timed"
+            for c in ("customer_id", "article_id")
+        ]
+    ),
     "dataset_profile": """
         SELECT 'transactions' AS dataset_name, count(*) AS rows, 6 AS columns,
                count(DISTINCT customer_id) AS unique_customers,
@@ -695,6 +716,13 @@ ORACLES: dict[str, str] = {
         SELECT 'archive_' || (doc_id // {DOCUMENTS_PER_ARCHIVE}) || '.zip' AS archive,
                count(*) FILTER (strlen(text) % 13 <> 0) AS embedded,
                count(*) FILTER (strlen(text) % 13 = 0) AS failed FROM documents GROUP BY 1""",
+    "img_broken_archives": f"""
+        SELECT 'archive_' || (doc_id // {DOCUMENTS_PER_ARCHIVE}) || '.zip' AS archive,
+               count(*) FILTER (strlen(text) % 13 <> 0) AS embedded,
+               count(*) FILTER (strlen(text) % 13 = 0) AS failed FROM documents GROUP BY 1
+        UNION ALL
+        SELECT DISTINCT 'cut_' || (doc_id // {DOCUMENTS_PER_ARCHIVE}) || '.zip', 0, 1 FROM documents
+        WHERE doc_id // {DOCUMENTS_PER_ARCHIVE} < 2""",
     # the same operators on another log
     "events_favorite_type": favorite("events", "event_type", "favorite_type", "user_id"),
     "events_temporal_split": "SELECT * FROM event_split",

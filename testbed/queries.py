@@ -38,7 +38,7 @@ from trolley.operators import (
     users,
 )
 from trolley.sources import archives, sinks, tables
-from trolley.streaming import chunks
+from trolley.streaming import chunks, states
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -263,6 +263,21 @@ def split_metadata(spark: SparkSession, folder: str) -> DataFrame:
     return split.split_metadata(split.temporal_split(t.transactions(spark, folder)), "test", 64)
 
 
+@query
+def split_metadata_written(spark: SparkSession, folder: str) -> DataFrame:
+    """The metadata as the write of the parts has counted them."""
+    parts = split.temporal_split(t.stored_transactions(spark, folder))
+    return sinks.write_split(parts, scratch_path(spark, "split"), "test", 64)
+
+
+@query
+def table_shapes_written(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "shapes")
+    made = {"transactions": t.transactions, "customers": t.customers, "articles": t.articles}
+    shapes = [sinks.write_counted(f(spark, folder), f"{path}/{name}", name) for name, f in made.items()]
+    return shapes[0].unionByName(shapes[1]).unionByName(shapes[2])
+
+
 @query
 def hash_split(spark: SparkSession, folder: str) -> DataFrame:
     log = t.transactions(spark, folder).select("customer_id", "article_id", "t_dat")
@@ -341,6 +356,53 @@ def feature_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return stats.withColumn("value", F.when(real, thousandths).otherwise(F.col("value")))
 
 
+@query
+def stats_of_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """Statistics merged from the states of four chunks; percentiles and distinct counts within their errors."""
+    base = scratch_path(spark, "states")
+    log = calendar.temporal_features(t.stored_transactions(spark, folder))
+    sinks.write_table(log, f"{base}/in", files=4)
+    found = states.merged_statistics(
+        states.update_states(spark, f"{base}/in", log.schema, f"{base}/out", f"{base}/progress", files_per_chunk=1)
+    )
+    exact = profile.unique_counts(log, [*profile.numeric_features(log), *profile.categorical_features(log)])
+    exact = exact.withColumnRenamed("unique_count", "exact_count")
+    names = profile.numeric_features(log)
+    cuts = [f"p{round(p * 100):02d}" for p in profile.PERCENTILES]
+    # Shares of rows below and up to each percentile, in one pass.
+    wide = found.where(F.col("feature").isin(names)).groupBy().pivot("feature", names).agg(F.first(F.array(*cuts)))
+
+    beside = log.withColumn("cuts", wide.select(F.struct(*names).alias("cuts")).scalar())
+
+    def share(c: str, i: int, compare: Callable[[Column, Column], Column]) -> Column:
+        hit = compare(F.col(c).cast("double"), F.get(F.col(f"cuts.{c}"), F.lit(i)))
+        return F.avg(F.when(F.col(c).isNotNull(), hit.cast("int")))
+
+    checked = beside.agg(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(c).alias("feature"),
+                    F.array(*[share(c, i, Column.__lt__) for i in range(len(cuts))]).alias("below"),
+                    F.array(*[share(c, i, Column.__le__) for i in range(len(cuts))]).alias("upto"),
+                )
+                for c in names
+            ]
+        ).alias("rows")
+    ).select(F.inline("rows"))
+    wanted = F.array(*[F.lit(p) for p in profile.PERCENTILES])
+    slack = F.lit(states.RANK_ERROR)
+    low = F.forall(F.zip_with("below", wanted, lambda s, p: s <= p + slack), lambda x: x)
+    high = F.forall(F.zip_with("upto", wanted, lambda s, p: s >= p - slack), lambda x: x)
+    close = F.abs(F.col("unique_count") - F.col("exact_count")) <= F.col("exact_count") * states.DISTINCT_ERROR + 1
+    joined = found.join(checked, "feature", "left").join(exact, "feature")
+    return joined.select(
+        "feature", "count", "null_count", "min", "max", F.round("mean", 3).alias("mean"), F.round("std", 3).alias("std"),
+        F.when(F.col("below").isNotNull(), (low & high).cast("int")).alias("percentiles_close"),
+        close.cast("int").alias("distinct_close"),
+    )
+
+
 @query
 def dataset_profile(spark: SparkSession, folder: str) -> DataFrame:
     log = profile.dataset_profile(t.transactions(spark, folder), "transactions")
@@ -808,16 +870,24 @@ def byte_counts() -> images.Embedder:
 
 @query
 def img_embed_job(spark: SparkSession, folder: str) -> DataFrame:
-    members = archives.list_members(spark, t.image_archives(spark, folder))
-    embedded = images.embed_images(archives.read_members(members), byte_counts)
+    found = archives.read_archives(spark, t.image_archives(spark, folder))
+    embedded = images.embed_images(found, byte_counts)
     table = images.embedding_table(embedded, "2020-01-01")
     return table.withColumn("image_embedding", vector_text("image_embedding"))
 
 
 @query
 def img_embed_report(spark: SparkSession, folder: str) -> DataFrame:
-    members = archives.list_members(spark, t.image_archives(spark, folder))
-    return images.embedding_report(images.embed_images(archives.read_members(members), byte_counts))
+    found = archives.read_archives(spark, t.image_archives(spark, folder))
+    return images.embedding_report(images.embed_images(found, byte_counts))
+
+
+@query
+def img_broken_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """The report of the same archives and two of them cut in half, in ranges of 64 kB."""
+    packed = t.image_archives(spark, folder, broken=2)
+    found = archives.read_archives(spark, packed, range_bytes=64 << 10)
+    return images.embedding_report(images.embed_images(found, byte_counts))
 
 
 # --- the same operators on another log -----------------------------------------------------

@@ -193,8 +193,11 @@ def clustered_vectors(spark: SparkSession, folder: str) -> DataFrame:
 DOCUMENTS_PER_ARCHIVE = 200
 
 
-def image_archives(spark: SparkSession, folder: str) -> str:
-    """Pack every document into zip archives as a stand-in for images; returns their folder."""
+def image_archives(spark: SparkSession, folder: str, broken: int = 0) -> str:
+    """Pack every document into zip archives as a stand-in for images; returns their folder.
+
+    The first ``broken`` archives also have a copy that is cut in half.
+    """
     target = scratch_path(spark, "archives")
 
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
@@ -207,6 +210,10 @@ def image_archives(spark: SparkSession, folder: str) -> str:
                 archive.writestr(f"images/{doc_id:010d}.jpg", data)
                 archive.writestr(f"notes/{doc_id:010d}.txt", data)
                 archive.writestr(f"../outside/{doc_id:010d}.jpg", data)
+        if frame["archive"].iloc[0] < broken:
+            data = system.open_input_file(name).read()
+            with system.open_output_stream(f"{inner}/cut_{frame['archive'].iloc[0]}.zip") as stream:
+                stream.write(data[: len(data) // 2])
         return pd.DataFrame({"rows": [len(frame)]})
 
     documents = load(spark, folder, "documents").select(

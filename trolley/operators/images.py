@@ -8,7 +8,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from trolley.columns import DEFAULT, Columns
 from trolley.functions.vectors import l2_normalize
@@ -20,12 +19,6 @@ DEVICE_BATCH = 128
 Embedder = Callable[[Sequence[bytes]], Sequence[Sequence[float] | None]]
 
 
-def first_per_archive(members: DataFrame, count: int) -> DataFrame:
-    """The first ``count`` members of each archive in name order."""
-    order = Window.partitionBy("archive").orderBy("member")
-    return members.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= count).drop("_n")
-
-
 def embed_images(
     images: DataFrame,
     make_embedder: Callable[[], Embedder],
@@ -34,6 +27,8 @@ def embed_images(
 ) -> DataFrame:
     """Add ``raw_vector`` to ``(archive, member, content)`` rows; null where embedding failed.
 
+    Rows without content are not embedded and keep the ``error`` they come with, if the column is there.
+
     ``make_embedder`` runs once per task, so a model is loaded once. When a batch raises or
     returns another number of vectors, its images are embedded one by one, so only those that fail
     are lost; ``error`` has their reason.
@@ -58,11 +53,15 @@ def embed_images(
         for frame in frames:
             for start in range(0, len(frame), batch):
                 part = frame.iloc[start : start + batch]
-                contents = part["content"].tolist()
+                read = part["content"].notna().to_numpy()
+                contents = part.loc[read, "content"].tolist()
                 try:
-                    made = [(v, None if v is not None else "no vector") for v in vectors_of(embed, contents)]
+                    found = vectors_of(embed, contents) if contents else []
+                    made = [(v, None if v is not None else "no vector") for v in found]
                 except Exception:
                     made = list(each(embed, contents))
+                rest = iter(made)
+                made = [next(rest) if ok else (None, why) for ok, why in zip(read, part["error"], strict=True)]
                 yield pd.DataFrame(
                     {
                         "archive": part["archive"].to_numpy(),
@@ -72,7 +71,8 @@ def embed_images(
                     }
                 )
 
-    source = images.select("archive", "member", "content")
+    error = F.col("error") if "error" in images.columns else F.lit(None).cast("string")
+    source = images.select("archive", "member", "content", error.alias("error"))
     return source.mapInPandas(run, "archive string, member string, raw_vector array<double>, error string")
 
 

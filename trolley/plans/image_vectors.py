@@ -14,9 +14,8 @@ from trolley.operators.images import (
     embed_images,
     embedding_report,
     embedding_table,
-    first_per_archive,
 )
-from trolley.sources.archives import list_members, read_members
+from trolley.sources.archives import read_archives
 from trolley.sources.sinks import write_artifact, write_embeddings
 
 
@@ -30,12 +29,11 @@ def run_image_vectors(
     stamp=None,
     cols: Columns = DEFAULT,
 ) -> None:
-    """Embed every image once, then write vectors and the report from the stored result."""
-    members = list_members(spark, archives)
-    if per_archive is not None:
-        members = first_per_archive(members, per_archive)
-    embedded = materialize(
-        embed_images(read_members(members), make_embedder, batch, cols), "image-vectors"
-    )
+    """Embed every image once, then write vectors and the report from the stored result.
+
+    A broken archive counts as one failed image in the report; the others are embedded.
+    """
+    found = read_archives(spark, archives, per_archive)
+    embedded = materialize(embed_images(found, make_embedder, batch, cols), "image-vectors")
     write_embeddings(embedding_table(embedded, stamp, cols), f"{output}/embeddings", cols)
     write_artifact(embedding_report(embedded), f"{output}/artifacts/image_report")

@@ -1,7 +1,9 @@
-"""Image archives: list members from the archive directories, read members in parallel.
+"""Image archives as a source: byte ranges of archives, each read by one task.
 
-An archive is never loaded whole. Listing reads only its directory; members are then spread
-over all tasks, each of which seeks to the members it got, so one huge archive is split.
+An archive is never loaded whole. A range of its bytes holds the members that begin there, so a huge archive is
+read by many tasks, a task opens an archive once for each of its ranges, and there are at most as many ranges as
+archives and ``RANGE_BYTES`` pieces of all bytes. Only members that the caller wants are read. An archive or
+a member that can't be read is a row with an ``error``; all others are read.
 """
 
 from __future__ import annotations
@@ -13,12 +15,19 @@ from collections.abc import Iterator
 import pandas as pd
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Archive and member suffixes.
 ARCHIVE_GLOB = "*.zip"
 IMAGE_SUFFIX = ".jpg"
 
-MEMBER_SCHEMA = "archive string, path string, entry string, member string, size bigint"
+#: Bytes of an archive that one task reads.
+RANGE_BYTES = 64 << 20
+# Bytes handed on at once while reading members.
+_CHUNK_BYTES = 32 << 20
+
+MEMBER_SCHEMA = "archive string, path string, entry string, member string, size bigint, error string"
+CONTENT_SCHEMA = "archive string, member string, content binary, error string"
 
 
 def _open(path: str):
@@ -37,29 +46,18 @@ def is_safe_image(entry: str) -> bool:
     return entry.endswith(IMAGE_SUFFIX) and ".." not in entry and not entry.startswith("/")
 
 
-def _list(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        for path in frame["path"]:
-            with _open(path) as stream, zipfile.ZipFile(stream) as archive:
-                # Folders are flattened; of equal file names the last entry counts.
-                found = {
-                    posixpath.basename(info.filename): info
-                    for info in archive.infolist()
-                    if is_safe_image(info.filename)
-                }
-            yield pd.DataFrame(
-                {
-                    "archive": posixpath.basename(path),
-                    "path": path,
-                    "entry": [info.filename for info in found.values()],
-                    "member": list(found),
-                    "size": [info.file_size for info in found.values()],
-                }
-            )
+def _members(archive: zipfile.ZipFile, per_archive: int | None) -> list[tuple[str, zipfile.ZipInfo]]:
+    """File names and entries in name order. Folders are flattened; of equal file names the last entry counts."""
+    found = {posixpath.basename(i.filename): i for i in archive.infolist() if is_safe_image(i.filename)}
+    return sorted(found.items())[:per_archive]
+
+
+def _said(problem: Exception) -> str:
+    return f"{type(problem).__name__}: {problem}"
 
 
 def list_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """Path and length of every archive below ``folder``; contents are not read."""
+    """Path and length of every archive below ``folder`` but files without a byte; contents are not read."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", ARCHIVE_GLOB)
@@ -69,42 +67,83 @@ def list_archives(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def list_members(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per image in the archives: archive, path, entry, file name, size."""
-    paths = list_archives(spark, folder).select("path")
-    return paths.mapInPandas(_list, MEMBER_SCHEMA)
+def archive_ranges(spark: SparkSession, folder: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """``path, start, stop``: byte ranges of about equal size that cover every archive."""
+    pieces = F.greatest(F.ceil(F.col("length") / range_bytes), F.lit(1))
+    ranges = list_archives(spark, folder).withColumn("pieces", pieces)
+    ranges = ranges.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1)))
 
+    def edge(number):
+        return F.floor(F.col("length") * number / F.col("pieces")).cast("bigint")
 
-# Bytes handed on at once while reading members.
-_CHUNK_BYTES = 32 << 20
+    return ranges.select("path", edge(F.col("piece")).alias("start"), edge(F.col("piece") + 1).alias("stop"))
 
 
-def _read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        for path, part in frame.groupby("path", sort=False):
-            rows, held = [], 0
-            with _open(path) as stream, zipfile.ZipFile(stream) as archive:
-                infos = {info.filename: info for info in archive.infolist()}
-                for row in part.itertuples(index=False):
-                    content = archive.read(infos[row.entry])
-                    rows.append((row.archive, row.member, content))
-                    held += len(content)
-                    if held >= _CHUNK_BYTES:
-                        yield pd.DataFrame(rows, columns=["archive", "member", "content"])
-                        rows, held = [], 0
-            if rows:
-                yield pd.DataFrame(rows, columns=["archive", "member", "content"])
+def _spread(ranges: DataFrame) -> DataFrame:
+    """Ranges over tasks. The number of partitions is fixed (that of shuffles): the list of ranges is tiny against
+    what it stands for, so adaptive execution would put it into one task."""
+    partitions = int(ranges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return ranges.repartition(partitions, "path", "start")
 
 
-def read_members(members: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Contents of listed members: archive, file name, bytes.
+def list_members(spark: SparkSession, folder: str, per_archive: int | None = None) -> DataFrame:
+    """One row per image in the archives: archive, path, entry, file name, size.
 
-    The number of partitions is fixed (that of shuffles, if none is given): the listing is tiny
-    against what it stands for, so adaptive execution would put it into one task.
+    An archive whose directory can't be read is one row with its ``error`` and no member. ``per_archive`` keeps
+    the first ones of each archive in name order.
     """
-    if partitions is None:
-        partitions = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = members.repartition(partitions, "path", "member")
-    return spread.sortWithinPartitions("path").mapInPandas(
-        _read, "archive string, member string, content binary"
-    )
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [f.split()[0] for f in MEMBER_SCHEMA.split(", ")]
+        for frame in frames:
+            for path in frame["path"]:
+                name = posixpath.basename(path)
+                try:
+                    with _open(path) as stream, zipfile.ZipFile(stream) as archive:
+                        rows = [(name, path, i.filename, member, i.file_size, None) for member, i in _members(archive, per_archive)]
+                except Exception as problem:
+                    rows = [(name, path, None, None, None, _said(problem))]
+                yield pd.DataFrame(rows, columns=names)
+
+    return _spread(archive_ranges(spark, folder).where("start = 0")).mapInPandas(run, MEMBER_SCHEMA)
+
+
+def read_archives(
+    spark: SparkSession, folder: str, per_archive: int | None = None, range_bytes: int = RANGE_BYTES
+) -> DataFrame:
+    """Contents of the images: archive, file name, bytes, and the ``error`` of what can't be read.
+
+    An archive whose directory can't be read is one row without a member.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [f.split()[0] for f in CONTENT_SCHEMA.split(", ")]
+        for frame in frames:
+            for part in frame.itertuples(index=False):
+                rows, held = [], 0
+                for row in _contents(part.path, part.start, part.stop, per_archive):
+                    rows.append(row)
+                    held += len(row[2] or b"")
+                    if held >= _CHUNK_BYTES:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows, held = [], 0
+                if rows:
+                    yield pd.DataFrame(rows, columns=names)
+
+    return _spread(archive_ranges(spark, folder, range_bytes)).mapInPandas(run, CONTENT_SCHEMA)
+
+
+def _contents(path: str, start: int, stop: int, per_archive: int | None) -> Iterator[tuple]:
+    """The members that begin in the range."""
+    name = posixpath.basename(path)
+    try:
+        with _open(path) as stream, zipfile.ZipFile(stream) as archive:
+            for member, info in _members(archive, per_archive):
+                if start <= info.header_offset < stop:
+                    try:
+                        yield name, member, archive.read(info), None
+                    except Exception as problem:
+                        yield name, member, None, _said(problem)
+    except Exception as problem:
+        if start == 0:  # once for each archive
+            yield name, None, None, _said(problem)
