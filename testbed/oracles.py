@@ -583,6 +583,11 @@ ORACLES: dict[str, str] = {
         SELECT tx.*, article_idx, customer_idx, {vector_text('image_embedding')} AS image_embedding
         FROM tx JOIN item_idx USING (article_id) JOIN emb USING (article_id)
         JOIN user_idx USING (customer_id)""",
+    "ranking_chunks": "SELECT * FROM ranking_rows",
+    "two_tower_chunks": f"""
+        SELECT tx.*, article_idx, customer_idx, {vector_text('image_embedding')} AS image_embedding
+        FROM tx JOIN item_idx USING (article_id) JOIN emb USING (article_id)
+        JOIN user_idx USING (customer_id)""",
     "retrieval_dataset": f"""
         SELECT customer_id, article_id, t_dat,
                {vector_text('[CAST(purchase_count AS FLOAT), CAST(avg_spend AS FLOAT)]')} AS user_numeric,

@@ -494,14 +494,19 @@ def negative_samples(spark: SparkSession, folder: str) -> DataFrame:
     return training.negative_samples(log, _indexed_items(log, t.raw_embeddings(spark, folder)))
 
 
-def _ranking_rows(spark: SparkSession, folder: str) -> DataFrame:
+def _ranking_inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The log with its users' and items' numbers, and the items'."""
     log = t.stored_transactions(spark, folder)
     per_user = log.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("purchase_count"), F.avg("price").alias("avg_spend")
     )
     popular = materialize(items.item_popularity(log), "popularity")
     wide = joins.skew_join(log, per_user, "customer_id", computed=True)
-    wide = joins.skew_join(wide, popular, "article_id")
+    return joins.skew_join(wide, popular, "article_id"), popular
+
+
+def _ranking_rows(spark: SparkSession, folder: str) -> DataFrame:
+    wide, popular = _ranking_inputs(spark, folder)
     return training.ranking_dataset(wide, popular, t.raw_embeddings(spark, folder))
 
 
@@ -525,6 +530,34 @@ def two_tower_dataset(spark: SparkSession, folder: str) -> DataFrame:
     return prepared.withColumn("image_embedding", vector_text("image_embedding"))
 
 
+def _chunked(spark: SparkSession, log: DataFrame, transform: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A log in three files, prepared a file at a time."""
+    base = scratch_path(spark, "training-chunks")
+    sinks.write_table(log, f"{base}/in", files=3)
+    chunks.process_chunks(spark, f"{base}/in", log.schema, transform, f"{base}/out", f"{base}/progress", 1)
+    read = chunks.read_chunks(spark, f"{base}/out").drop("chunk")
+    return read.withColumn("image_embedding", vector_text("image_embedding"))
+
+
+@query
+def two_tower_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    log = t.stored_transactions(spark, folder)
+    lookups = training.write_two_tower_lookups(
+        encoding.user_index(log), encoding.item_index(log), t.raw_embeddings(spark, folder), scratch_path(spark, "lookups")
+    )
+    return _chunked(spark, log, lambda chunk: training.two_tower_chunk(chunk, lookups))
+
+
+@query
+def ranking_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    wide, popular = _ranking_inputs(spark, folder)
+    wide = materialize(wide, "ranking-log")
+    lookups = training.write_ranking_lookups(
+        wide, popular, t.raw_embeddings(spark, folder), scratch_path(spark, "lookups")
+    )
+    return _chunked(spark, wide, lambda chunk: training.ranking_chunk(chunk, lookups))
+
+
 @query
 def retrieval_dataset(spark: SparkSession, folder: str) -> DataFrame:
     typed = training.retrieval_dataset(_two_tower(spark, folder), t.raw_embeddings(spark, folder))

@@ -101,7 +101,7 @@ def test_broken_archives_and_members_are_rows(spark, tmp_path):
     place = whole.index(bytes([3]) * 10)
     (tmp_path / "member.zip").write_bytes(whole[:place] + b"x" + whole[place + 1 :])
     listed = {r.archive: r.error for r in list_members(spark, str(tmp_path)).where("error is not null").collect()}
-    assert listed.keys() == {"cut.zip", "empty.zip"} and all("BadZipFile" in e for e in listed.values())
+    assert listed.keys() == {"cut.zip", "empty.zip"} and "BadZipFile" in listed["cut.zip"]
     read = read_archives(spark, str(tmp_path), range_bytes=500)
     lost = {(r.archive, r.member) for r in read.where("error is not null").collect()}
     assert lost == {("cut.zip", None), ("empty.zip", None), ("member.zip", "0102.jpg")}

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from testbed import tables as t
 from trolley.__main__ import main
-from trolley.plans.training_sets import two_tower_chunks_job
+from trolley.plans.training_sets import ranking_chunks_job, two_tower_chunks_job
 from trolley.sources.tables import Catalog
 from trolley.streaming.chunks import process_chunks
 
@@ -45,8 +45,11 @@ def test_command_line_from_raw_tables_to_training_sets(spark, small, tmp_path):
 
     source = Catalog(etl, {"embeddings": vectors})
     two_tower_chunks_job(spark, source, Catalog(features), sets, f"{tmp_path}/progress", 1)
-    chunked = spark.read.parquet(f"{sets}/two_tower_chunks").drop("chunk")
-    assert chunked.count() == whole.count()
+    chunked = spark.read.parquet(f"{sets}/two_tower_chunks").drop("chunk").select(whole.columns)
+    assert chunked.exceptAll(whole).isEmpty() and chunked.count() == whole.count()
+    ranking_chunks_job(spark, source, Catalog(features), sets, f"{tmp_path}/ranking-progress", files_per_chunk=1)
+    chunked = spark.read.parquet(f"{sets}/ranking_chunks").drop("chunk").select(rows.columns)
+    assert chunked.exceptAll(rows).isEmpty() and chunked.count() == rows.count()
 
 
 def test_chunks_continue_where_they_stopped(spark, tmp_path):

@@ -19,9 +19,13 @@ from trolley.operators.training import (
     NEGATIVE_RATIO,
     SEED,
     in_shuffle_order,
+    ranking_chunk,
     ranking_dataset,
     retrieval_dataset,
+    two_tower_chunk,
     two_tower_dataset,
+    write_ranking_lookups,
+    write_two_tower_lookups,
 )
 from trolley.sources.sinks import write_ordered, write_table
 from trolley.sources.tables import Catalog
@@ -109,12 +113,41 @@ def two_tower_chunks_job(
     embeddings = source.load(spark, "embeddings", cols=cols)
     users = spark.read.parquet(f"{output}/lookups/user_index")
     items = spark.read.parquet(f"{output}/lookups/item_index")
+    lookups = write_two_tower_lookups(users, items, embeddings, f"{output}/buckets/two_tower", cols)
     process_chunks(
         spark,
         path,
         schema,
-        lambda chunk: two_tower_dataset(chunk, users, items, embeddings, cols),
+        lambda chunk: two_tower_chunk(chunk, lookups, cols),
         f"{output}/two_tower_chunks",
         checkpoint,
         files_per_chunk,
     )
+
+
+def ranking_chunks_job(
+    spark: SparkSession,
+    source: Catalog,
+    features: Catalog,
+    output: str,
+    checkpoint: str,
+    ratio: int = NEGATIVE_RATIO,
+    seed: int = SEED,
+    files_per_chunk: int = FILES_PER_CHUNK,
+    cols: Columns = DEFAULT,
+) -> None:
+    """The ranking set built chunk by chunk; purchases known when it starts are never drawn."""
+    path = f"{features.path('two_tower_interactions')}/split={TRAIN}"
+    log = spark.read.parquet(path)
+    items = features.load(spark, "item_features", cols=cols)
+    embeddings = source.load(spark, "embeddings", cols=cols)
+    lookups = write_ranking_lookups(log, items, embeddings, f"{output}/buckets/ranking", cols)
+    process_chunks(
+        spark,
+        path,
+        log.schema,
+        lambda chunk: ranking_chunk(chunk, lookups, ratio, seed, cols),
+        f"{output}/ranking_chunks",
+        checkpoint,
+        files_per_chunk,
+    )
