@@ -171,6 +171,9 @@ def test_edited_texts_and_neighbours(spark):
     by_id = {r["doc_id"]: r for r in out}
     assert by_id[2]["fingerprint"] == by_id[3]["fingerprint"] == "" and by_id[2]["near_next"] == 1
     assert by_id[3]["near_next"] == 0 and by_id[8]["near_next"] in (0, 1)
+    for r in out:  # likeness is that of the fingerprints
+        a, b = (set(r[c].split()) for c in ("fingerprint", "edited_fingerprint"))
+        assert r["near_edited"] == (len(a & b) / len(a | b) if a | b else 1)
     prints = {r["doc_id"]: r["fingerprint"] for r in syncmers.fingerprints(clashing(spark, SYNC, "_text")).collect()}
     assert all(prints[r["doc_id"]] == r["fingerprint"] for r in out)
     assert syncmers.edited_likeness(clashing(spark, [])).count() == 0
@@ -187,7 +190,8 @@ def test_likeness_counts_all_anchors(spark):
     for d, after in ((1, 2), (2, 3), (3, 1)):
         want = len(own[d] & own[after]) / len(own[d] | own[after])
         assert abs(out[d]["near_next"] - want) < 1e-12
-        assert out[d]["fingerprint"] == "".join(f"{h & 0xFFFFFFFF:08x}" for h in sorted(own[d])[:64])
+        assert out[d]["fingerprint"] == " ".join(map(str, sorted(own[d])))
+        assert out[d]["sketch"] == "".join(f"{h & 0xFFFFFFFF:08x}" for h in sorted(own[d])[:64])
     assert 0 < out[1]["near_next"] < 1 / 64
 
 

@@ -6,11 +6,11 @@ substrings of ``S`` pieces is its first or its last one. Whether it is one depen
 anchors of a shared passage are the same in every document, wherever it stands. About half of all
 k-mers are anchors.
 
-``anchors`` gives them with positions, for matching passages. Likeness is the share of common anchors among
-all distinct anchor hashes (32 bits) of two texts; positions play no part in it. A fingerprint is the
-``SKETCH`` smallest of a text's hashes in ascending order, eight hexadecimal digits each. A text
+``anchors`` gives them with positions, for matching passages. A fingerprint is the list of a text's distinct anchor
+hashes (32 bits) in ascending order, and the likeness of two is the share of common ones among all; positions
+play no part in it. A sketch is the ``SKETCH`` smallest of them, eight hexadecimal digits each. A text
 without an anchor has the hash of the whole text as its only one; an empty text has an empty
-fingerprint, like another empty one (1) and unlike all others (0).
+list, like another empty one (1) and unlike all others (0).
 
 Rows: every input row is one document; a null text counts as empty. Documents are ordered by
 ``doc_id`` (null first), rows of one id by text. A text's pieces are held in memory, one text at a
@@ -81,17 +81,23 @@ def _anchors(text: Column) -> Column:
 
 
 def _distinct_anchors(text: Column) -> Column:
+    """The sorted, distinct hashes of a text's anchors."""
+
     def never_empty(found: Column) -> Column:
         whole = F.when(text == "", F.array().cast("array<int>")).otherwise(F.array(F.hash(text)))
         return F.when(F.size(found) > 0, found).otherwise(whole)
 
-    return _let(F.array_distinct(_anchors(text)["hash"]), never_empty)
+    return _let(F.sort_array(F.array_distinct(_anchors(text)["hash"])), never_empty)
 
 
 def _printed(hashes: Column) -> Column:
-    """The fingerprint of distinct hashes."""
-    sketch = F.slice(F.sort_array(hashes), 1, SKETCH)
-    digits = F.transform(sketch, lambda h: F.lpad(F.hex(h.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))
+    """The fingerprint of sorted, distinct hashes."""
+    return F.array_join(hashes.cast("array<string>"), " ")
+
+
+def _sketched(hashes: Column) -> Column:
+    """The sketch of sorted, distinct hashes."""
+    digits = F.transform(F.slice(hashes, 1, SKETCH), lambda h: F.lpad(F.hex(h.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))
     return F.lower(F.array_join(digits, ""))
 
 
@@ -136,18 +142,27 @@ def _first_of_next(rows: DataFrame) -> DataFrame:
 
 
 def with_next(documents: DataFrame) -> DataFrame:
-    """Rows ``doc_id, text`` with the ``next_text``, the text of the next.
+    """Rows ``doc_id, text`` with their hashes ``own``, and of the next row ``next_text`` and ``next_own``.
 
     Ids are cut to ranges of ``2 ** NEIGHBOUR_BITS``: rows of a range are sorted together, and its
-    last row gets its next from the few rows that are the first of a range.
+    last row gets its next from the few rows that are the first of a range. Hashes are worked out once a text, between
+    two windows of one order, so that they are not shuffled.
     """
     # Null ids come first: they get the lowest place, which only the lowest id shares.
     place = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
     rows = documents.withColumns({"place": place, "range": F.shiftright(place, NEIGHBOUR_BITS)})
     order = Window.partitionBy("range").orderBy(F.col("doc_id").asc_nulls_first(), "text")
     placed = rows.drop("place").withColumn("next_text", F.lead("text").over(order))
+    placed = placed.withColumn("own", _distinct_anchors(F.col("text"))).withColumn("next_own", F.lead("own").over(order))
     # Texts are not null here, so only the last row of a range has no next.
-    return placed.join(_first_of_next(rows), "range", "left").withColumn("next_text", F.coalesce("next_text", "first"))
+    joined = placed.join(_first_of_next(rows), "range", "left")
+    last = F.col("next_text").isNull()
+    return joined.withColumns(
+        {
+            "next_own": F.when(last, _distinct_anchors(F.col("first"))).otherwise(F.col("next_own")),
+            "next_text": F.when(last, F.col("first")).otherwise(F.col("next_text")),
+        }
+    )
 
 
 def edited_likeness(documents: DataFrame) -> DataFrame:
@@ -159,21 +174,18 @@ def edited_likeness(documents: DataFrame) -> DataFrame:
     paired = paired.withColumn("quarter", F.floor(n / 4).cast("int"))
     fresh = F.substring(F.col("next_text"), F.lit(1), quarter)
     edited = paired.select(
-        "doc_id", "text", "next_text", n.cast("bigint").alias("n_chars"),
+        "doc_id", "own", "next_own", n.cast("bigint").alias("n_chars"),
         F.concat(F.substring(text, F.lit(1), n - quarter), fresh).alias("edited"),
     )
 
-    # Each text's anchors are worked out once, after the last shuffle.
-    def found(whole: Column) -> Column:
-        def compared(other: Column) -> Column:
-            return F.struct(
-                _printed(whole).alias("fingerprint"),
-                _printed(other).alias("edited_fingerprint"),
-                _likeness(whole, other).alias("near_edited"),
-                _likeness(whole, _distinct_anchors(F.col("next_text"))).alias("near_next"),
-            )
-
-        return _let(_distinct_anchors(F.col("edited")), compared)
+    def compared(other: Column) -> Column:
+        return F.struct(
+            _printed(F.col("own")).alias("fingerprint"),
+            _printed(other).alias("edited_fingerprint"),
+            _sketched(F.col("own")).alias("sketch"),
+            _likeness(F.col("own"), other).alias("near_edited"),
+            _likeness(F.col("own"), F.col("next_own")).alias("near_next"),
+        )
 
-    edited = edited.withColumn("found", _let(_distinct_anchors(text), found))
+    edited = edited.withColumn("found", _let(_distinct_anchors(F.col("edited")), compared))
     return edited.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "found.*")
