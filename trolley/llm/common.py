@@ -79,14 +79,17 @@ def crc_remainder(column: str, modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % modulus, F.lit(0))
 
 
-def bounded_sample(df: DataFrame, group: str, key: str, most: int, counts: dict[Any, int]) -> DataFrame:
+def bounded_sample(
+    df: DataFrame, group: str, key: str, most: int, counts: dict[Any, int], more: tuple[str, ...] = ()
+) -> DataFrame:
     """A reproducible share of each group's rows: about ``most`` of them, all if there are fewer.
 
     ``counts`` has the rows of each group. Rows are chosen by the hash of ``key``, so no group is
-    sorted or gathered and a repeated task chooses the same rows.
+    sorted or gathered and a repeated task chooses the same rows. Where many rows may share a key, or have none,
+    ``more`` names columns that tell them apart.
     """
     scale = 1 << 30
-    place = F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(scale))
+    place = F.pmod(F.xxhash64(F.lit("sample"), F.col(key), *more), F.lit(scale))
     limit = F.lit(0)
     for value, n in counts.items():
         share = min(scale, int(scale * most / max(n, 1)))

@@ -14,7 +14,6 @@ Ties of votes go to the larger margin sum, then to the smaller name. Other colum
 from __future__ import annotations
 
 import itertools
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -46,7 +45,6 @@ FAMILIES = {
     "sinitic": "yue zh",
     "austronesian": "id jv ms su tl",
 }
-LETTER = re.compile(r"[^\W\d_]")
 
 
 def family_of(language: str) -> str:
@@ -137,7 +135,7 @@ class LanguageModel:
         names, scores = [], []
         for i, text in enumerate(texts):
             group = members[best[i]]
-            if not LETTER.search(text):
+            if not any(map(str.isalpha, text)):  # categories L* alone: no fractions or numerals
                 names.append(UNKNOWN)
                 scores.append(0.0)
                 continue
@@ -171,7 +169,8 @@ def fit(df: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel | None
     counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     if not counts:
         return None
-    sample = bounded_sample(known, "lang", "doc_id", per_language, counts)
+    # By id and text: rows without an id, or of one, are drawn one by one.
+    sample = bounded_sample(known, "lang", "doc_id", per_language, counts, more=("text",))
     rows, labels = dense_sample(sample, SPACE, "lang")
     return LanguageModel.fit(rows, labels) if labels else None
 
