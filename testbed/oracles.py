@@ -606,6 +606,20 @@ ORACLES: dict[str, str] = {
         for c in ("purchase_count", "avg_spend", "is_weekend")
     )
     + " FROM summary",
+    "minmax_scale": """
+        SELECT customer_id, article_id, t_dat, round((price - low) / (high - low), 9) AS price, split
+        FROM log_split, (SELECT min(price) AS low, max(price) AS high FROM log_split WHERE split = 'train')""",
+    "drop_outliers": """
+        SELECT customer_id, article_id, t_dat, price, split
+        FROM log_split, (SELECT avg(price) AS mean, stddev_pop(price) AS std FROM log_split WHERE split = 'train')
+        WHERE price BETWEEN mean - 1.5 * std AND mean + 1.5 * std""",
+    "impute_mean": """
+        SELECT customer_id, round(coalesce(age, (SELECT avg(age) FROM cust_raw WHERE customer_id NOT LIKE ' %')), 6) AS age,
+               round(coalesce(FN, (SELECT avg(FN) FROM cust_raw WHERE customer_id NOT LIKE ' %')), 6) AS FN
+        FROM cust_raw""",
+    "fit_cold_items": f"""
+        SELECT article_id, CAST(8 AS INTEGER) AS dimension, CAST(1 AS INTEGER) AS finite FROM emb JOIN art USING (article_id)
+        WHERE {portable_hash('article_id', '42')} % 100 < 20""",
     "assemble_vector": f"""
         WITH both_sides AS (SELECT * FROM popular JOIN emb USING (article_id)),
              per_position AS (

@@ -19,6 +19,7 @@ from trolley.functions import calendar, vectors
 from trolley.functions.scratch import materialize, scratch_path
 from trolley.operators import (
     clean,
+    cold_items,
     encoding,
     favorites,
     images,
@@ -29,6 +30,7 @@ from trolley.operators import (
     metrics,
     models,
     nearest,
+    prepare,
     profile,
     ranking,
     recommend,
@@ -590,6 +592,37 @@ def standard_scale(spark: SparkSession, folder: str) -> DataFrame:
     return scaled.select("customer_id", *[F.round(c, 6).alias(c) for c in columns])
 
 
+def _parts_of_log(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The log with its parts, and the training part."""
+    parts = split.temporal_split(t.stored_transactions(spark, folder))
+    parts = parts.select("customer_id", "article_id", "t_dat", "price", "split")
+    return parts, parts.where(F.col("split") == split.TRAIN)
+
+
+@query
+def minmax_scale(spark: SparkSession, folder: str) -> DataFrame:
+    """Prices of all parts by the range of the training part."""
+    parts, train = _parts_of_log(spark, folder)
+    scaled = prepare.minmax_scale(parts, prepare.fit_ranges(train, ["price"]))
+    return scaled.withColumn("price", F.round("price", 9))
+
+
+@query
+def drop_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows within 1.5 deviations of the training part's mean price."""
+    parts, train = _parts_of_log(spark, folder)
+    return prepare.drop_outliers(parts, prepare.fit_limits(train, ["price"], 1.5))
+
+
+@query
+def impute_mean(spark: SparkSession, folder: str) -> DataFrame:
+    """Ages of all customers by the mean of two thirds of them."""
+    raw = t.raw_customers(spark, folder).select("customer_id", "age", "FN")
+    means = prepare.fit_means(raw.where(~F.col("customer_id").startswith(" ")), ["age", "FN"])
+    filled = prepare.impute_mean(raw, means)
+    return filled.select("customer_id", *[F.round(c, 6).alias(c) for c in ("age", "FN")])
+
+
 @query
 def assemble_vector(spark: SparkSession, folder: str) -> DataFrame:
     """Scaled item numerics followed by the scaled vector, split by hash of the item."""
@@ -880,6 +913,29 @@ def fit_retrieval(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("customers", "fewest", "most", better.alias("better_than_popular"))
 
 
+@query
+def fit_cold_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors of items whose purchases the factors have not seen, from their codes and stored vectors."""
+    log = t.stored_transactions(spark, folder)
+    held = split.hash_split(_item_vectors(spark, folder), ["article_id"])
+    codes = t.articles(spark, folder).select("article_id", *ITEM_CODES)
+    wide = held.join(codes, "article_id")
+    wide = materialize(
+        wide.select("article_id", "split", vectors.assemble(vectors.scalars(*ITEM_CODES), F.col("image_embedding").cast("array<double>")).alias("features")),
+        "item-inputs",
+    )
+    cold = wide.where(F.col("split") == split.TEST)
+    seen = materialize(log.join(cold, "article_id", "left_anti"), "warm-log")
+    user_ids, item_ids = encoding.user_index(seen), encoding.item_index(seen)
+    model = models.fit_retrieval(seen, user_ids, item_ids, rank=8, passes=3)
+    _, factors = models.factor_tables(model, user_ids, item_ids)
+    warm = wide.where(F.col("split") == split.TRAIN)
+    weights = cold_items.fit_feature_map(warm, factors, "article_id", "features", "image_embedding")
+    made = cold_items.mapped_vectors(cold, weights, "article_id", "features", "vector")
+    finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x))
+    return made.select("article_id", F.size("vector").alias("dimension"), finite.cast("int").alias("finite"))
+
+
 # --- images --------------------------------------------------------------------------------
 
 

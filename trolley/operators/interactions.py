@@ -13,7 +13,7 @@ from trolley.columns import DEFAULT, Columns
 from trolley.functions.calendar import temporal_features
 from trolley.operators.favorites import favorites
 from trolley.operators.items import item_popularity
-from trolley.operators.joins import skew_join
+from trolley.operators.joins import require_distinct_columns, skew_join
 
 
 def _before(df: DataFrame, time: str, as_of: object | None) -> DataFrame:
@@ -32,6 +32,7 @@ def ranking_interactions(
     With ``as_of``, statistics use purchases before that time only and rows start at it, so no
     later purchase leaks into a feature.
     """
+    require_distinct_columns(transactions, customers.drop(cols.user), articles.drop(cols.item))
     timed = transactions.withColumn(cols.time, F.col(cols.day))
     known = _before(timed, cols.time, as_of)
     categories = articles.select(cols.item, cols.category)
@@ -93,6 +94,7 @@ def two_tower_interactions(
     as_of: object | None = None,
 ) -> DataFrame:
     """Purchases with attributes, calendar parts, user summary, item popularity and favourites."""
+    require_distinct_columns(transactions, customers.drop(cols.user), articles.drop(cols.item))
     known = _before(transactions, cols.time, as_of)
     groups = articles.select(cols.item, cols.category, cols.color)
     narrow = skew_join(known.select(cols.user, cols.item), groups, cols.item)

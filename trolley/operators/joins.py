@@ -42,11 +42,20 @@ def skew_join(
 def star_join(
     transactions: DataFrame, customers: DataFrame, articles: DataFrame, cols: Columns = DEFAULT
 ) -> DataFrame:
-    """Every transaction with its customer and article attributes."""
+    """Every transaction with its customer and article attributes; no attribute may occur twice."""
+    require_distinct_columns(transactions, customers.drop(cols.user), articles.drop(cols.item))
     named = skew_join(transactions, customers, cols.user)
     return skew_join(named, articles, cols.item)
 
 
-def duplicate_columns(df: DataFrame) -> list[str]:
-    """Names that occur more than once."""
-    return sorted({c for c in df.columns if df.columns.count(c) > 1})
+def duplicate_columns(*tables: DataFrame) -> list[str]:
+    """Names that occur more than once in tables to be put side by side, without regard to case as in Spark."""
+    names = [c.lower() for df in tables for c in df.columns]
+    return sorted({c for c in names if names.count(c) > 1})
+
+
+def require_distinct_columns(*tables: DataFrame) -> None:
+    """Stop before a join whose result would have two columns of one name."""
+    found = duplicate_columns(*tables)
+    if found:
+        raise ValueError(f"columns that occur twice: {', '.join(found)}")
