@@ -1,9 +1,10 @@
 """Exact order statistics of many columns with bounded state per task.
 
-Numbers are found by histograms that are refined over a few scans. A bin is the sign and binary exponent of a value
-at first, which keeps the order; then each bin that holds a wanted rank is cut to ``BINS`` parts of equal width between
-its least and largest value, until it holds one value only. All columns and all ranks are refined in the same
-scan. Tasks add up counts, so no value is shuffled, and a double takes at most six scans, a few as a rule.
+Numbers are found by histograms that are refined over a few scans. At first a bin is the sign and magnitude of a
+value, which keeps the order: eighths of a power of two, small whole numbers as they are. Then each bin that holds
+a wanted rank is cut to ``BINS`` parts of equal width between its least and largest value, until it holds one value
+only. All columns and all ranks are refined in the same scan. Tasks add up counts, so no value is shuffled, and
+a double takes at most six scans, two or three as a rule.
 
 Other types are counted per value, and the counts put in order by ranges.
 """
@@ -27,8 +28,10 @@ BINS = 4096
 # Types whose values are counted as whole and as real numbers; others keep their type.
 WHOLE = ("tinyint", "smallint", "int", "bigint")
 REAL = ("float", "double")
-#: Places of the first bins: zero, exponents (shifted to be positive), infinity, not a number.
-SHIFT, INFINITE, NO_NUMBER = 1100, 4000, 5000
+#: Whole numbers below this are bins of their own; parts of a power of two that are bins for larger and real ones.
+SMALL, PARTS = 2048, 8
+#: Places of the first bins: magnitudes (shifted to be positive), infinity, not a number.
+SHIFT, INFINITE, NO_NUMBER = 1100 * PARTS, 30_000, 40_000
 
 
 @dataclass
@@ -51,12 +54,14 @@ def _kind(type_name: str) -> str | None:
     return type_name if type_name.startswith("decimal") else None
 
 
-def _magnitude(value: Column) -> Column:
-    """Bins by sign and binary exponent: larger numbers never have a smaller bin."""
+def _magnitude(value: Column, kind: str) -> Column:
+    """Bins by sign and magnitude: larger numbers never have a smaller bin."""
     number = value.cast("double")
     size = F.abs(number)
-    exponent = F.floor(F.log2(size)).cast("int") + SHIFT
-    place = F.when(size == 0, 0).when(size == float("inf"), INFINITE).otherwise(exponent)
+    power = F.floor(F.log2(size) * PARTS).cast("int") + SHIFT
+    if kind == "bigint":
+        return F.when(size < SMALL, value.cast("int")).otherwise(F.signum(number).cast("int") * power)
+    place = F.when(size == 0, 0).when(size == float("inf"), INFINITE).otherwise(power)
     return F.when(F.isnan(number), NO_NUMBER).otherwise(F.when(number < 0, -place).otherwise(place))
 
 
@@ -74,7 +79,7 @@ def _entries(slots: dict[int, _Slot], kinds: dict[str, str]) -> list[Column]:
         for n in numbers:
             low, high = slots[n].low, slots[n].high
             if low is None:
-                slot, place = F.when(value.isNotNull(), n), _magnitude(value)
+                slot, place = F.when(value.isNotNull(), n), _magnitude(value, kind)
                 continue
             least, most = F.lit(low).cast(kind), F.lit(high).cast(kind)
             inside = value.between(least, most)
