@@ -230,13 +230,18 @@ def _ranked(placed: DataFrame, reach: int, size: int, k: int) -> DataFrame:
             n = min(k, len(point))
             top = np.argpartition(-products, n - 1, axis=1)[:, :n]
             least = np.take_along_axis(products, top, 1).min(1)
+            # Products may differ from the returned scores in their last bits.
+            slack = 1e-12 * np.linalg.norm(q, axis=1) * np.linalg.norm(v, axis=1).max()
             names, points, scores = [], [], []
             for i in range(len(query)):
+                keep = np.flatnonzero((products[i] >= least[i] - slack[i]) & (products[i] > -np.inf))
+                score = np.einsum("ij,j->i", v[keep], q[i])
                 # All ties of the last one stay, so that ids can decide.
-                keep = np.flatnonzero((products[i] >= least[i]) & (products[i] > -np.inf))
+                last = np.partition(score, -n)[-n] if len(score) > n else -np.inf
+                keep, score = keep[score >= last], score[score >= last]
                 names.append(np.full(len(keep), query[i]))
                 points.append(point[keep])
-                scores.append(np.einsum("ij,j->i", v[keep], q[i]))
+                scores.append(score)
             columns = [pa.array(np.concatenate(c)) for c in (names, points, scores)]
             yield pa.RecordBatch.from_arrays(columns, ["query", "point", "score"])
 

@@ -186,6 +186,23 @@ def _choose_lexicon(counts, n: int, m: int) -> dict[str, float]:
     return {names[i]: float(odds[i]) for i in order}
 
 
+def _word_after(folded: str, place: int) -> str:
+    """The word that follows a space, whole; empty at the end."""
+    start = place
+    while start < len(folded) and folded[start] == " ":
+        start += 1
+    stop = folded.find(" ", start)
+    return folded[start : stop if stop >= 0 else len(folded)]
+
+
+def _word_before(folded: str, place: int) -> str:
+    """The word before a space, whole; empty at the start."""
+    stop = place
+    while stop > 0 and folded[stop - 1] == " ":
+        stop -= 1
+    return folded[folded.rfind(" ", 0, stop) + 1 : stop]
+
+
 def _phrases(model: ToxicityModel):
     """Pairs of words with a hit in one of them, and a mark for a text with any."""
 
@@ -195,11 +212,12 @@ def _phrases(model: ToxicityModel):
         out = set()
         for place in model.hits(machine, folded):
             end = folded.find(" ", place + 1)
-            after = folded[end:].split(maxsplit=1)[:1] if end - place < 100 else []
-            before = folded[max(0, place - 100) : place].rsplit(maxsplit=1)[-1:]
             word = folded[place + 1 : end]
-            out.update(f" {word} {x} " for x in after)
-            out.update(f" {x} {word} " for x in before)
+            after, before = _word_after(folded, end), _word_before(folded, place)
+            if after:
+                out.add(f" {word} {after} ")
+            if before:
+                out.add(f" {before} {word} ")
         return out | {ANY_HIT} if out else out
 
     return entries
