@@ -39,7 +39,7 @@ from trolley.operators import (
     training,
     users,
 )
-from trolley.sources import archives, sinks, tables
+from trolley.sources import archives, batch_sink, sinks, tables
 from trolley.streaming import chunks, states
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -818,16 +818,18 @@ def rec_summary(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
-def vec_export_batches(spark: SparkSession, folder: str) -> DataFrame:
+def _export(spark: SparkSession, folder: str) -> DataFrame:
     popular = items.item_popularity(t.transactions(spark, folder))
     both = encoding.align_items(popular, t.raw_embeddings(spark, folder))
-    batches = sinks.export_batches(
+    return sinks.export_batches(
         both,
         "article_id",
         "image_embedding",
         {"popularity": F.col("item_purchase_count"), "type": F.lit("product")},
     )
+
+
+def _export_rows(batches: DataFrame) -> DataFrame:
     return batches.select(
         "batch_no",
         "id",
@@ -837,6 +839,20 @@ def vec_export_batches(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def vec_export_batches(spark: SparkSession, folder: str) -> DataFrame:
+    return _export_rows(_export(spark, folder))
+
+
+@query
+def vec_export_sink(spark: SparkSession, folder: str) -> DataFrame:
+    """The batches through the sink, whose readers see committed runs alone."""
+    batches = _export(spark, folder)
+    path = scratch_path(spark, "export")
+    batch_sink.write_batches(batches, path)
+    return _export_rows(batch_sink.read_batches(spark, path, batches.schema))
+
+
 # --- models and metrics --------------------------------------------------------------------
 
 
