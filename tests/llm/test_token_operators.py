@@ -107,3 +107,28 @@ def test_word_encoder_equals_whole_texts():
     texts = [*odd_texts(), "a <|endoftext|> b", "trailing ", " lead", "two  spaces  here"]
     for text, ids in zip(texts, token_planes.WordEncoder(JSON)(texts), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_new_words_are_encoded_many_at_once():
+    library, encoder = Tokenizer.from_file(JSON), token_planes.WordEncoder(JSON)
+    random.seed(3)
+    letters = "aeinrst,.é’中9\n"
+    words = ["".join(random.choices(letters, k=random.randrange(1, 9))) for _ in range(2 * token_planes.JOINED)]
+    for _ in range(3):
+        texts = [" ".join(random.choices(words, k=400)) for _ in range(4)]
+        for text, ids in zip(texts, encoder(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert encoder._word_ids([]) == {}
+
+
+def test_documents_over_several_blocks_and_ends_on_a_block(spark, tmp_path):
+    # " a" is one id, so with the end id the first document fills a block exactly.
+    rows = [(1, " a" * (token_planes.BLOCK - 1)), (2, " a" * (3 * token_planes.BLOCK)), (3, "")]
+    path = f"{tmp_path}/blocks"
+    token_planes.write_ids(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), path, JSON)
+    found = token_planes.read_ids(spark, path).orderBy("start").collect()
+    lengths = [len(r.ids) // 4 for r in found]
+    assert [r.doc_id for r in found] == [1, 2, 3]
+    assert lengths == [token_planes.BLOCK, 3 * token_planes.BLOCK + 1, 1]
+    assert [r.start for r in found] == [0, lengths[0], lengths[0] + lengths[1]]
+    assert all(np.frombuffer(r.ids, "<u4")[-1] == token_planes.END_ID for r in found)

@@ -31,19 +31,27 @@ BLOCK = 1 << 16
 END_ID = 0
 #: Entries of a worker's cache of encoded words.
 CACHED_WORDS = 400_000
+#: New words that the tokenizer gets as one text.
+JOINED = 256
 
 FORMAT = (
     "shard int, block int, first bigint, n_ids int, planes binary, plane_ends array<int>, "
     "ordinals array<int>, doc_ids array<bigint>, lengths array<int>"
 )
-PIECES = "shard int, ordinal int, block int, doc_id bigint, at bigint, whole boolean, ids binary"
+DOCUMENTS = "shard int, doc_id bigint, at bigint, ids binary"
+
+
+# Fixed value: how byte-level vocabularies write the byte of a space.
+SPACE = "\u0120"
 
 
 class WordEncoder:
     """Whole texts by the tokenizers library, which sees each distinct word once.
 
     Before a space that a non-space follows, the byte-level pattern always starts a new token, so
-    the text may be cut there. Texts with a literal special token are not cut.
+    the text may be cut there. Texts with a literal special token are not cut. For the same reason new
+    words go to the tokenizer many at once, divided by single spaces: a token that begins with a space
+    is the first one of a word that has no space itself.
     """
 
     def __init__(self, path: str) -> None:
@@ -52,6 +60,11 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.spaced[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
+        # A special token with a space might appear between two words of different texts.
+        self.joins = not any(" " in s for s in self.special)
         self.words: dict[str, bytes] = {}
         self.odd = re.compile(r" \s| $")
         self.cut = re.compile(r" (?=\S)")
@@ -60,6 +73,22 @@ class WordEncoder:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in encoded]
 
+    def _word_ids(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of each word behind a space."""
+        alone = [w for w in words if not self.joins or " " in w]
+        plain = [w for w in words if " " not in w] if self.joins else []
+        groups = [plain[a : a + JOINED] for a in range(0, len(plain), JOINED)]
+        found: dict[str, bytes] = {}
+        for group, packed in zip(groups, self._ids([" " + " ".join(g) for g in groups]), strict=True):
+            starts = np.flatnonzero(self.spaced[np.frombuffer(packed, "<u4")]) * 4
+            if len(starts) == len(group):
+                cuts = [*starts.tolist(), len(packed)]
+                found.update(zip(group, [packed[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
+            else:  # a vocabulary without tokens of its own for spaces
+                alone += group
+        found.update(zip(alone, self._ids([" " + w for w in alone]), strict=True))
+        return found
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         words: list[str] = []
         heads, ends = [], []
@@ -74,8 +103,7 @@ class WordEncoder:
         packed: list = list(map(self.words.get, words))
         if None in packed:
             missing = [i for i, ids in enumerate(packed) if ids is None]
-            new = list({words[i] for i in missing})
-            fresh = dict(zip(new, self._ids([" " + w for w in new]), strict=True))
+            fresh = self._word_ids(list({words[i] for i in missing}))
             for i in missing:
                 packed[i] = fresh[words[i]]
             if len(self.words) + len(fresh) <= CACHED_WORDS:
@@ -173,64 +201,49 @@ def write_ids(df: DataFrame, path: str, tokenizer: str, bits: bool = False, leve
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """The documents of a dataset: ``doc_id``, ``start`` (ids of all documents before it), ``ids``.
 
-    Blocks are decoded where they are read. Only documents cut by a block's end are gathered, so
-    nothing but those parts is shuffled.
+    The compressed blocks of a shard go to one task in their order, so each is decoded once and a
+    document cut by a block's end is put together where it is read. A task holds a block and a document.
+    The number of partitions is that of shuffles: by their compressed size they would be too few.
     """
     blocks = spark.read.schema(FORMAT).parquet(path)
     sizes = blocks.groupBy("shard").agg(F.sum("n_ids").alias("ids"))
     before = Window.partitionBy(F.lit(0)).orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     # One row per shard, and a shard is a partition's output: a small table by design.
     places = sizes.select("shard", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("shard_start"))
-    parts = blocks.mapInArrow(_pieces, PIECES)
-    whole = parts.where("whole").select("shard", "doc_id", "at", "ids")
-    cut = (
-        blocks.mapInArrow(_cut_pieces, PIECES)
-        .groupBy("shard", "ordinal")
-        .agg(
-            F.first("doc_id").alias("doc_id"),
-            F.min("at").alias("at"),
-            F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", F.hex("ids").alias("h")))), lambda p: p["h"]), "").alias("text"),
-        )
-        .select("shard", "doc_id", "at", F.unhex("text").alias("ids"))
-    )
-    return whole.unionByName(cut).join(places, "shard").select(
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = blocks.repartition(partitions, "shard").sortWithinPartitions("shard", "block")
+    return ordered.mapInArrow(_documents, DOCUMENTS).join(F.broadcast(places), "shard").select(
         "doc_id", (F.col("shard_start") + F.col("at")).alias("start"), "ids"
     )
 
 
-def _decoded(batches: Iterator[pa.RecordBatch], want_whole: bool) -> Iterator[pa.RecordBatch]:
-    names = [f.split()[0] for f in PIECES.split(", ")]
-    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks in the order of shard and block to their documents."""
+    names = [f.split()[0] for f in DOCUMENTS.split(", ")]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, names)
+
+    # The document that the next block may go on with: shard and ordinal, its id and place, its parts.
+    open_key, open_row, parts = None, (None, None), []
     for batch in batches:
         for row in (r for i in range(batch.num_rows) for r in batch.slice(i, 1).to_pylist()):
-            ends = np.cumsum(row["lengths"])
-            count = len(ends)
-            # A block's first document may have begun before, its last may go on: both are settled
-            # by the neighbouring blocks, so they count as cut, unless the end id closes them.
-            cut = [False] * count
-            cut[0] = row["block"] > 0
-            ids = None
-            if want_whole or cut[0] or row["n_ids"] == BLOCK:
-                ids = unshuffle_planes(row["planes"], row["plane_ends"], row["n_ids"])
-                if row["n_ids"] == BLOCK:
-                    cut[-1] = True
-            out = []
-            for k in range(count):
-                if cut[k] == want_whole:
-                    continue
-                a = int(ends[k] - row["lengths"][k])
-                out.append((row["shard"], row["ordinals"][k], row["block"], row["doc_ids"][k], row["first"] + a, not cut[k], ids[a : ends[k]].tobytes()))
-            if out:
-                columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names)
-
-
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return _decoded(batches, True)
-
-
-def _cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return _decoded(batches, False)
+            shard, done = row["shard"], []
+            ids = unshuffle_planes(row["planes"], row["plane_ends"], row["n_ids"]).tobytes()
+            at = 0
+            for ordinal, doc_id, length in zip(row["ordinals"], row["doc_ids"], row["lengths"], strict=True):
+                if (shard, ordinal) != open_key:
+                    if open_key is not None:
+                        done.append((open_key[0], *open_row, b"".join(parts)))
+                    open_key, open_row, parts = (shard, ordinal), (doc_id, row["first"] + at), []
+                parts.append(ids[4 * at : 4 * (at + length)])
+                at += length
+            if done:
+                yield table(done)
+    if open_key is not None:
+        yield table([(open_key[0], *open_row, b"".join(parts))])
 
 
 def stored_digest(df: DataFrame, tokenizer: str) -> DataFrame:
