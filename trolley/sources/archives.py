@@ -13,10 +13,11 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trolley.sources.batch_sink import file_system
+
 # Archive and member suffixes.
 ARCHIVE_GLOB = "*.zip"
 IMAGE_SUFFIX = ".jpg"
@@ -32,12 +33,7 @@ CONTENT_SCHEMA = "archive string, member string, content binary, error string"
 
 def _open(path: str):
     """A seekable stream on any file system Spark lists from."""
-    scheme, _, rest = path.partition(":")
-    if scheme in ("s3a", "s3n"):
-        path = f"s3:{rest}"
-    elif scheme == "file":
-        path = f"file:///{rest.lstrip('/')}"
-    system, inner = fs.FileSystem.from_uri(path)
+    system, inner = file_system(path)
     return system.open_input_file(inner)
 
 
