@@ -1,4 +1,8 @@
-"""What the queries do once an item, and not once a row."""
+"""What the queries do once an item or a file, and not once a row or for the whole log."""
+
+import glob
+
+from pyspark.sql import functions as F
 
 from testbed import queries
 
@@ -8,3 +12,12 @@ def test_vector_texts_are_made_once_an_item(spark, small):
         plan = queries.QUERIES[name](spark, small)._jdf.queryExecution().optimizedPlan().toString()
         # The vectors come from a table as text; no row of the result makes its own.
         assert "transform(cast(image_embedding" not in plan, name
+
+
+def test_chunks_are_as_many_files_as_the_log_needs(spark, tmp_path):
+    log = spark.range(1000).withColumn("x", F.col("id") * 2)
+    assert queries.write_chunk_files(log, str(tmp_path / "few"), 4) == 1
+    assert len(glob.glob(str(tmp_path / "few" / "part-*"))) == 4
+    assert queries.write_chunk_files(log, str(tmp_path / "many"), 4, rows_per_file=100) == 3
+    assert len(glob.glob(str(tmp_path / "many" / "part-*"))) == 12
+    assert spark.read.parquet(str(tmp_path / "many")).count() == 1000
