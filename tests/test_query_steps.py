@@ -21,3 +21,17 @@ def test_chunks_are_as_many_files_as_the_log_needs(spark, tmp_path):
     assert queries.write_chunk_files(log, str(tmp_path / "many"), 4, rows_per_file=100) == 3
     assert len(glob.glob(str(tmp_path / "many" / "part-*"))) == 12
     assert spark.read.parquet(str(tmp_path / "many")).count() == 1000
+
+
+def test_rankers_are_fitted_on_files_of_bounded_rows(spark, small, monkeypatch):
+    stored, write = {}, queries.materialize
+
+    def kept(df, name, *options):
+        stored[name] = write(df, name, *options)
+        return stored[name]
+
+    monkeypatch.setattr(queries, "materialize", kept)
+    monkeypatch.setattr(queries, "TRAINING_FILE_ROWS", 1000, raising=False)
+    queries.fit_ranker(spark, small)
+    files = stored["ranker-rows"].groupBy(F.input_file_name()).count()
+    assert files.agg(F.max("count")).first()[0] == 1000
