@@ -109,3 +109,27 @@ def test_broken_archives_and_members_are_rows(spark, tmp_path):
     report = {r.archive: (r.embedded, r.failed) for r in images.embedding_report(images.embed_images(read, embedder)).collect()}
     assert report == {"one.zip": (1, 1), "two.zip": (50, 0), "member.zip": (49, 1), "cut.zip": (0, 1), "empty.zip": (0, 1)}
     assert spark.read.parquet(str(tmp_path / "out/embeddings")).count() == 100
+
+
+def test_only_one_batch_of_images_is_held_as_python_objects(spark):
+    size, count = 100_000, 200
+    frame = spark.range(count).coalesce(1).select(
+        F.lit("a.zip").alias("archive"),
+        F.concat("id", F.lit(".jpg")).alias("member"),
+        F.rpad(F.col("id").cast("string"), size, " x").cast("binary").alias("content"),
+    )
+
+    def counting():
+        import sys
+        import tracemalloc
+
+        tracemalloc.start()
+
+        def embed(batch):
+            alike = [t for t in tracemalloc.take_snapshot().traces if t.size == sys.getsizeof(batch[0])]
+            return [[float(len(alike))]] * len(batch)
+
+        return embed
+
+    held = images.embed_images(frame, counting, batch=20).agg(F.max(F.col("raw_vector")[0])).first()[0]
+    assert held <= 2 * 20

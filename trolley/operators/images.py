@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,32 +48,29 @@ def embed_images(
             except Exception as problem:
                 yield None, f"{type(problem).__name__}: {problem}"
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         embed = make_embedder()
-        for frame in frames:
-            for start in range(0, len(frame), batch):
-                part = frame.iloc[start : start + batch]
-                read = part["content"].notna().to_numpy()
-                contents = part.loc[read, "content"].tolist()
+        for rows in batches:
+            # Only the images of one batch are Python objects at a time.
+            for start in range(0, rows.num_rows, batch):
+                part = rows.slice(start, batch)
+                read = part.column(2).is_valid().to_pylist()
+                contents = part.column(2).drop_null().to_pylist()
                 try:
                     found = vectors_of(embed, contents) if contents else []
                     made = [(v, None if v is not None else "no vector") for v in found]
                 except Exception:
                     made = list(each(embed, contents))
                 rest = iter(made)
-                made = [next(rest) if ok else (None, why) for ok, why in zip(read, part["error"], strict=True)]
-                yield pd.DataFrame(
-                    {
-                        "archive": part["archive"].to_numpy(),
-                        "member": part["member"].to_numpy(),
-                        "raw_vector": [vector for vector, _ in made],
-                        "error": [error for _, error in made],
-                    }
-                )
+                made = [next(rest) if ok else (None, why) for ok, why in zip(read, part.column(3).to_pylist(), strict=True)]
+                vectors = pa.array([vector for vector, _ in made], pa.list_(pa.float64()), from_pandas=True)
+                errors = pa.array([error for _, error in made], pa.string())
+                columns = [part.column(0), part.column(1), vectors, errors]
+                yield pa.RecordBatch.from_arrays(columns, ["archive", "member", "raw_vector", "error"])
 
     error = F.col("error") if "error" in images.columns else F.lit(None).cast("string")
     source = images.select("archive", "member", "content", error.alias("error"))
-    return source.mapInPandas(run, "archive string, member string, raw_vector array<double>, error string")
+    return source.mapInArrow(run, "archive string, member string, raw_vector array<double>, error string")
 
 
 def embedding_table(embedded: DataFrame, stamp=None, cols: Columns = DEFAULT) -> DataFrame:

@@ -13,6 +13,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ IMAGE_SUFFIX = ".jpg"
 #: Bytes of an archive that one task reads.
 RANGE_BYTES = 64 << 20
 # Bytes handed on at once while reading members.
-_CHUNK_BYTES = 32 << 20
+_CHUNK_BYTES = 4 << 20
 
 MEMBER_SCHEMA = "archive string, path string, entry string, member string, size bigint, error string"
 CONTENT_SCHEMA = "archive string, member string, content binary, error string"
@@ -112,21 +113,26 @@ def read_archives(
     An archive whose directory can't be read is one row without a member.
     """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [f.split()[0] for f in CONTENT_SCHEMA.split(", ")]
-        for frame in frames:
-            for part in frame.itertuples(index=False):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in batch.to_pylist():
                 rows, held = [], 0
-                for row in _contents(part.path, part.start, part.stop, per_archive):
+                for row in _contents(part["path"], part["start"], part["stop"], per_archive):
                     rows.append(row)
                     held += len(row[2] or b"")
                     if held >= _CHUNK_BYTES:
-                        yield pd.DataFrame(rows, columns=names)
+                        yield _batch(rows)
                         rows, held = [], 0
                 if rows:
-                    yield pd.DataFrame(rows, columns=names)
+                    yield _batch(rows)
+
+    return _spread(archive_ranges(spark, folder, range_bytes)).mapInArrow(run, CONTENT_SCHEMA)
+
 
-    return _spread(archive_ranges(spark, folder, range_bytes)).mapInPandas(run, CONTENT_SCHEMA)
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    archive, member, content, error = zip(*rows, strict=True)
+    columns = [pa.array(archive, pa.string()), pa.array(member, pa.string()), pa.array(content, pa.binary()), pa.array(error, pa.string())]
+    return pa.RecordBatch.from_arrays(columns, ["archive", "member", "content", "error"])
 
 
 def _contents(path: str, start: int, stop: int, per_archive: int | None) -> Iterator[tuple]:
