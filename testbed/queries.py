@@ -953,7 +953,7 @@ def fit_retrieval(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def fit_cold_items(spark: SparkSession, folder: str) -> DataFrame:
     """Vectors of items whose purchases the factors have not seen, from their codes and stored vectors."""
-    log = t.stored_transactions(spark, folder)
+    log = t.transactions(spark, folder).select("customer_id", "article_id")
     held = split.hash_split(_item_vectors(spark, folder), ["article_id"])
     codes = t.articles(spark, folder).select("article_id", *ITEM_CODES)
     wide = held.join(codes, "article_id")

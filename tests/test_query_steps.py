@@ -1,5 +1,6 @@
 """What the queries do once an item or a file, and not once a row or for the whole log."""
 
+import contextlib
 import glob
 
 from pyspark.sql import functions as F
@@ -35,3 +36,24 @@ def test_rankers_are_fitted_on_files_of_bounded_rows(spark, small, monkeypatch):
     queries.fit_ranker(spark, small)
     files = stored["ranker-rows"].groupBy(F.input_file_name()).count()
     assert files.agg(F.max("count")).first()[0] == 1000
+
+
+def test_cold_items_store_the_two_columns_of_the_fit_and_the_log_only_once(spark, small, monkeypatch):
+    stored, write = {}, queries.materialize
+
+    class Fitting(Exception):
+        pass
+
+    def kept(df, name, *rest):
+        stored[name] = df.columns
+        return write(df, name, *rest)
+
+    def stop(*_, **__):
+        raise Fitting
+
+    monkeypatch.setattr(queries, "materialize", kept)
+    monkeypatch.setattr(queries.t, "materialize", kept)
+    monkeypatch.setattr(queries.models, "fit_retrieval", stop)
+    with contextlib.suppress(Fitting):
+        queries.fit_cold_items(spark, small)
+    assert sorted(stored["warm-log"]) == ["article_id", "customer_id"] and "transactions" not in stored
