@@ -70,3 +70,49 @@ def test_matrices_fill_gaps(spark):
     items = spark.createDataFrame([("i", None, None)], "article_id string, a int, c bigint")
     row = encoding.encode_item_matrix(items, ["a"], ["c"]).first()
     assert (row.a, row.c) == (0.0, -1)
+
+
+def catalogue(spark):
+    items = spark.createDataFrame(
+        [(f"{i:010d}", 1, None if i % 5 else 2, 3.0) for i in range(30)],
+        "article_id string, item_purchase_count bigint, unique_buyers bigint, avg_item_price double",
+    )
+    vectors = spark.createDataFrame(
+        [(str(i), [float(i), 1.0], DAY) for i in range(0, 40, 2)],
+        "article_id string, image_embedding array<float>, event_timestamp timestamp_ntz",
+    )
+    return items, vectors
+
+
+def test_stored_draws_give_the_same_rows(spark):
+    odd = spark.createDataFrame([(None, "2", DAY, 1, 1.0, 1, 1, 1.0), ("u9", None, DAY, 1, 1.0, 1, 1, 1.0), ("u9", "32", DAY, 1, 1.0, 1, 1, 1.0)], LOG)
+    df = log(spark).unionByName(odd)
+    first = training.ranking_dataset(df, *catalogue(spark))
+    second = training.ranking_dataset(df, *catalogue(spark), stored=True)
+    assert sorted(map(tuple, second.collect()), key=str) == sorted(map(tuple, first.collect()), key=str)
+
+
+def test_rows_of_an_item_follow_each_other(spark):
+    """So that its vector is in a file about once, also where the vectors could be broadcast."""
+    rows = training.ranking_dataset(log(spark), *catalogue(spark), stored=True)
+    placed = rows.select("article_id", F.spark_partition_id().alias("p")).collect()
+    runs = sum(a != b for a, b in zip(placed[1:], placed))
+    assert len(placed) > 300 and runs <= 2 * len({r.article_id for r in placed})
+
+
+def test_draws_are_shuffled_twice_and_no_earlier_shuffle_is_left(spark):
+    made, write = [], training.materialize
+
+    def kept(df, name, *rest):
+        made.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return write(df, name, *rest)
+
+    training.materialize = kept
+    try:
+        rows = training.ranking_dataset(log(spark), *catalogue(spark), stored=True)
+    finally:
+        training.materialize = write
+    drawn = dict(made)["draws"]
+    assert "LeftAnti" in drawn and "explode" in drawn
+    final = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in final and final.count("Join Inner") == 3  # positives and vectors, draws and items, items and vectors
